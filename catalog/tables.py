@@ -11,7 +11,7 @@ from lectern.operators import clean as cl
 from lectern.operators import sampling as sm
 from lectern.operators.features import FeatureSpec, FittedFeatures, fit_features, term_entries
 from lectern.operators.scoring import LinearScorer
-from lectern.plans.storage import materialize
+from lectern.plans.storage import materialize, spread
 from lectern.sources.schema import normalize_schema
 
 CHECK_SPEC = FeatureSpec(vocab_size=2000, min_df=5, binary_tf=True)
@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as id, title (first line), text, subject."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").alias("id"),
         F.substring_index("text", "\n", 1).alias("title"),
         "text",
@@ -62,8 +62,14 @@ def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled documents, cleaned and de-duplicated."""
-    return cl.dedup_text(cl.clean_text(corpus(spark, sf_dir)))
+    """The labelled documents, cleaned and de-duplicated.
+
+    Hashes are taken before the label join, so that only one of the two reads of
+    the documents carries texts through a shuffle.
+    """
+    keys = cl.content_keys(cl.clean_text(documents(spark, sf_dir)))
+    keys = keys.join(labels(spark, sf_dir), "id", "left_semi")
+    return cl.dedup_text(cl.clean_text(corpus(spark, sf_dir)), "id", keys)
 
 
 @dataclass(frozen=True)

@@ -13,8 +13,8 @@ def sigmoid(margin: Column) -> Column:
 
 
 def decide(score: Column, threshold: float) -> Column:
-    """1.0 from the threshold upwards, else 0.0."""
-    return F.when(score >= F.lit(float(threshold)), 1.0).otherwise(0.0)
+    """1.0 from the threshold upwards, 0.0 below, null without a score."""
+    return (score >= F.lit(float(threshold))).cast("double")
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

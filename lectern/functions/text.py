@@ -32,10 +32,11 @@ def strip_markup(text: Column) -> Column:
 def squash_blanks(text: Column) -> Column:
     """Turn each run of control characters and white space into one space.
 
-    Line breaks, tabs, the other control characters and ``\\s`` all lie in the
-    class below, so one scan of the text does the work of three replacements.
+    Line breaks, tabs, the other control characters and ``\\s`` all lie in one
+    class, so a single scan does the work of three replacements.  A lone space is
+    already right, and the pattern leaves it alone.
     """
-    return F.regexp_replace(text, r"[\x00-\x20\x7F]+", " ")
+    return F.regexp_replace(text, r"[\x00-\x1F\x7F][\x00-\x20\x7F]*| [\x00-\x20\x7F]+", " ")
 
 
 def clean_body(text: Column) -> Column:
@@ -48,7 +49,8 @@ def clean_body(text: Column) -> Column:
 
 
 def clean_title(title: Column) -> Column:
-    return F.regexp_replace(F.lower(F.trim(title)), r"\s+", " ")
+    """Lower case, white space collapsed; markup and other controls stay."""
+    return F.regexp_replace(F.lower(F.trim(title)), r"[\t\n\x0B\f\r]\s*| \s+", " ")
 
 
 def is_present(text: Column) -> Column:
@@ -66,6 +68,12 @@ def clip(text: Column, max_chars: int | None) -> Column:
     return text if max_chars is None else F.substring(text, 1, max_chars)
 
 
+def row_key(name: str) -> Column:
+    """A key column that fails the job where it is null, rather than lose rows."""
+    message = F.lit(f"null in key column {name}; use another key, or none")
+    return F.coalesce(F.col(name), F.raise_error(message))
+
+
 def content_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 

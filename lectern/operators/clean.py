@@ -16,31 +16,38 @@ def clean_text(
 ) -> DataFrame:
     """Drop absent texts, clean text and title, drop what is then too short.
 
-    Narrow: one pass, no shuffle, also valid on a stream.  The cleaned columns
-    leave through a generator: Catalyst would otherwise copy the replacements
+    Narrow: one pass, no shuffle, also valid on a stream.  The cleaned text
+    leaves through a generator: Catalyst would otherwise copy the replacements
     into the length filter and scan every text twice.
     """
-    kept = [c for c in df.columns if c not in ("title", "text")]
-    cleaned = {"text": tx.clean_body(F.col("text"))}
+    kept = [F.col(c) for c in df.columns if c not in ("title", "text")]
     if "title" in df.columns:
-        cleaned["title"] = tx.clean_title(F.col("title"))
-    row = F.struct(*(column.alias(name) for name, column in cleaned.items()))
-    out = df.filter(tx.is_present(F.col("text"))).select(*kept, F.inline(F.array(row)))
+        kept.append(tx.clean_title(F.col("title")).alias("title"))
+    once = F.explode(F.array(tx.clean_body(F.col("text")))).alias("text")
+    out = df.filter(tx.is_present(F.col("text"))).select(*kept, once)
     out = out.filter(F.length("text") >= min_text_length)
     if require_title:
         out = out.filter(tx.is_present(F.col("title")))
     return out.select(*df.columns)
 
 
-def dedup_text(df: DataFrame, key: str | None = "id") -> DataFrame:
+def content_keys(df: DataFrame, key: str = "id") -> DataFrame:
+    """(key, text_hash): all that de-duplication needs to know about a row."""
+    return df.select(tx.row_key(key).alias(key), tx.content_hash(F.col("text")).alias("text_hash"))
+
+
+def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = None) -> DataFrame:
     """One row per distinct text: the one with the smallest key.
 
-    With a unique key, survivors are found on (hash, key) pairs alone.  Those
+    With a unique key, survivors are found on (key, hash) pairs alone.  Those
     aggregate on the map side, so a text with very many copies costs one short
     row per map task.  The wide rows are then filtered by key, which is evenly
     spread, and not shuffled at all if they already lie by key (after a join on
     it, or in a table bucketed by it).
 
+    ``keys`` replaces ``content_keys(df)`` for a caller who can get the same
+    pairs cheaper, say from before a join that would carry the texts along.
+
     Without a key the smallest whole row of each text survives; this too is
     independent of partitioning, but moves whole rows.
     """
@@ -51,12 +58,9 @@ def dedup_text(df: DataFrame, key: str | None = "id") -> DataFrame:
             .agg(F.min(row).alias("_row"))
             .select("_row.*")
         )
-    survivors = (
-        df.select(key, tx.content_hash(F.col("text")).alias("_hash"))
-        .groupBy("_hash")
-        .agg(F.min(key).alias(key))
-        .select(key)
-    )
+    if keys is None:
+        keys = content_keys(df, key)
+    survivors = keys.groupBy("text_hash").agg(F.min(key).alias(key)).select(key)
     return df.join(survivors, key, "left_semi")
 
 

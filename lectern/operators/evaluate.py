@@ -4,35 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import scores as sc
-
-
-def _valid_pairs(predictions: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return predictions.select(
-        *keep, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")
-    ).na.drop(subset=["label", "prediction"])
-
-
-def _cell(label: int, predicted: Column, wanted: int) -> Column:
-    return F.count_if((F.col("label") == label) & (predicted == wanted))
+from lectern.operators.ranking import top_k
 
 
 def _cells(predicted: Column) -> dict[str, Column]:
+    """Conditional counts.  A row without label or prediction fits no condition,
+    so nulls need no filter, which would evaluate a model a second time."""
+    label, predicted = F.col("label").cast("int"), predicted.cast("int")
     return {
-        "tp": _cell(1, predicted, 1),
-        "tn": _cell(0, predicted, 0),
-        "fp": _cell(0, predicted, 1),
-        "fn": _cell(1, predicted, 0),
+        "tp": F.count_if((label == 1) & (predicted == 1)),
+        "tn": F.count_if((label == 0) & (predicted == 0)),
+        "fp": F.count_if((label == 0) & (predicted == 1)),
+        "fn": F.count_if((label == 1) & (predicted == 0)),
     }
 
 
 def confusion_matrix(predictions: DataFrame, *by: str) -> DataFrame:
     """tp, tn, fp, fn per group ``by``, in one aggregation; zeros when empty."""
     cells = [c.alias(name) for name, c in _cells(F.col("prediction")).items()]
-    return _valid_pairs(predictions, by).groupBy(*by).agg(*cells)
+    return predictions.groupBy(*by).agg(*cells)
 
 
 def with_metrics(confusion: DataFrame) -> DataFrame:
@@ -63,12 +57,11 @@ def metrics_at_thresholds(
     Each threshold has its own four counters, so no row is multiplied.
     """
     score = F.col(score_col)
-    valid = scored.select(F.col("label").cast("int").alias("label"), score_col).na.drop()
     counters = []
     for i, t in enumerate(thresholds):
         predicted = sc.decide(score, t)
         counters += [c.alias(f"{name}_{i}") for name, c in _cells(predicted).items()]
-    one_row = valid.agg(*counters)
+    one_row = scored.agg(*counters)
     per_threshold = [
         F.struct(
             F.lit(float(t)).alias("threshold"),
@@ -81,15 +74,13 @@ def metrics_at_thresholds(
 
 def top_errors(predictions: DataFrame, k: int = 5, score_col: str = "score", key: str = "id") -> DataFrame:
     """The k most confident false positives and the k most confident false
-    negatives, ties by key.  Every task keeps k rows per kind."""
+    negatives, ties by key."""
     label, predicted = F.col("label").cast("int"), F.col("prediction").cast("int")
-    worst_first = Window.partitionBy("error").orderBy(F.desc(F.abs(F.col(score_col))), key)
-    return (
-        predictions.filter(label.isin(0, 1) & predicted.isin(0, 1) & (label != predicted))
-        .withColumn("error", F.when(label == 0, "false_positive").otherwise("false_negative"))
-        .withColumn("rank", F.row_number().over(worst_first))
-        .filter(F.col("rank") <= k)
-    )
+    # Each row meets one of the two conditions on the prediction, not both.
+    wrong = predictions.filter(
+        ((label == 0) & (predicted == 1)) | ((label == 1) & (predicted == 0))
+    ).withColumn("error", F.when(label == 0, "false_positive").otherwise("false_negative"))
+    return top_k(wrong, [F.desc(F.abs(F.col(score_col))), key], k, by=["error"])
 
 
 def false_positives(predictions: DataFrame, k: int = 5) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators.evaluate import classification_metrics
 from lectern.operators.features import FeatureSpec, Vocabulary, hashing_stages
+from lectern.operators.ranking import top_k
 
 ESTIMATORS = {
     "logreg": LogisticRegression,
@@ -167,11 +168,9 @@ def model_params(spark: SparkSession, model: Model, name: str) -> DataFrame:
 
 def prediction_sample(predictions: DataFrame, k: int = 200, key: str = "id") -> DataFrame:
     """The first k predictions by key, as text, label and whole-number prediction."""
-    return (
-        predictions.orderBy(key)
-        .limit(k)
-        .select(
-            key, "text", F.col("label").cast("int").alias("label"),
-            F.col("prediction").cast("int").alias("prediction"),
-        )
+    return top_k(predictions, [key], k).select(
+        key,
+        "text",
+        F.col("label").cast("int").alias("label"),
+        F.col("prediction").cast("int").alias("prediction"),
     )

@@ -7,19 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions import text as tx
+from lectern.operators.ranking import top_k
+
 SEED = 42
 _BITS = 32
 
 
 def _draw(key: str, seed: int) -> Column:
-    """Eight hex digits per key: a uniform draw that any engine can repeat."""
-    return F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 8)
+    """32 hex digits per key: a uniform draw that any engine can repeat."""
+    return F.md5(F.concat(tx.row_key(key).cast("string"), F.lit(f":{seed}")))
 
 
 def _below(key: str, fraction: float, seed: int) -> Column:
+    """The draw lies below a fraction of its range, to a precision of 2**-32."""
     if fraction >= 1.0:
         return F.lit(True)
-    return _draw(key, seed) < F.lit(f"{int(fraction * (1 << _BITS)):08x}")
+    return F.substring(_draw(key, seed), 1, 8) < F.lit(f"{int(fraction * (1 << _BITS)):08x}")
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = SEED, key: str = "id") -> DataFrame:
@@ -33,12 +37,26 @@ def sample_rows_by_position(df: DataFrame, fraction: float, seed: int = SEED) ->
 
 
 def random_rows(df: DataFrame, n: int, seed: int = SEED, key: str = "id") -> DataFrame:
-    """``n`` random rows: a top-n by draw, so each task ships n rows at most."""
-    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
+    """The ``n`` rows with the smallest draws.
+
+    A plain top-n would ship n rows from every task to a single one.  So rows are
+    counted first, and only those below a draw that about n rows reach are
+    ranked.  Should fewer than n be below it, the bound is widened until there
+    are enough, so the result is always the exact n.  Runs two counting jobs;
+    pass a written table if the input is costly.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    fraction = (n + 8.0 * n**0.5 + 64.0) / total
+    while fraction < 1.0 and sample_rows(df, fraction, seed, key).count() < n:
+        fraction *= 2.0
+    few = sample_rows(df, fraction, seed, key)
+    return few.orderBy(_draw(key, seed), key).limit(n)
 
 
 def first_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:
-    return df.orderBy(key).limit(n)
+    return top_k(df, [key], n).drop("rank")
 
 
 def assign_split(

@@ -104,7 +104,7 @@ def worst_errors(run: Run, model: md.Trained, k: int = 5) -> DataFrame:
 
 
 def sample_predictions(run: Run, model: md.Trained, k: int = 200) -> DataFrame:
-    first = model.predictions.select("id", "label", "prediction").orderBy("id").limit(k)
+    first = sm.first_rows(model.predictions.select("id", "label", "prediction"), k)
     texts = run.documents.select("id", "text")
     return md.prediction_sample(texts.join(F.broadcast(first), "id"), k)
 

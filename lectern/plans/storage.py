@@ -50,6 +50,16 @@ def materialize(df: DataFrame, name: str = "table", partition_by: Sequence[str]
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """Repartition by ``key`` an input of fewer tasks than there are cores.
+
+    Meant for files that cannot be split, such as CSV with quoted line breaks.
+    Any input of enough splits passes unchanged.  Plans the input, runs nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class LookupSize:
     rows: int

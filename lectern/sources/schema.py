@@ -56,7 +56,8 @@ def normalize_schema(df: DataFrame) -> DataFrame:
     """Project a labelled source onto the corpus schema.
 
     A missing title falls back to the text, other missing fields become typed
-    nulls.  A source without any text column is an error.
+    nulls.  Only the id is left out where the source has none, so that a use of
+    it fails at once.  A source without any text column is an error.
     """
     found = {field: resolve_column(df.columns, names) for field, names in COLUMN_ALIASES.items()}
     if found["text"] is None:
@@ -70,7 +71,8 @@ def normalize_schema(df: DataFrame) -> DataFrame:
         source = F.lit(None) if name is None else F.col(f"`{name}`")
         return source.cast(field.dataType).alias(field.name)
 
-    return df.select(*(pick(field) for field in CORPUS_SCHEMA))
+    wanted = [f for f in CORPUS_SCHEMA if f.name != "id" or found["id"]]
+    return df.select(*(pick(field) for field in wanted))
 
 
 def union_labelled(sources: dict[int, DataFrame]) -> DataFrame:

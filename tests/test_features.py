@@ -1,0 +1,124 @@
+import math
+from dataclasses import replace
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover
+from pyspark.sql import functions as F
+
+from lectern.functions import scores as sc
+from lectern.functions import text as tx
+from lectern.functions.stopwords import ENGLISH_STOP_WORDS
+from lectern.operators import features as ft
+
+SPEC = ft.FeatureSpec(vocab_size=30, min_df=3)
+
+
+def vocabulary_rows(df, spec=SPEC):
+    v = ft.fit_vocabulary(df, spec)
+    return [tuple(r) for r in v.table.orderBy("idx").collect()], v.n_docs
+
+
+def test_stop_words_are_sparks(spark):
+    assert list(ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_expressions_and_stages_give_the_same_tokens(spark):
+    df = spark.createDataFrame(
+        [(1, "Don't STOP: the x-ray, it's 3rd_time!"), (2, ""), (3, "Ärger été_x ok")], "id bigint, text string"
+    )
+    for pattern in (tx.LETTERS_ONLY, tx.NON_WORD):
+        spec = replace(SPEC, pattern=pattern)
+        by_stage = PipelineModel(stages=ft.token_stages(spec)).transform(df)
+        tokens = tx.tokenize(F.col("text"), pattern)
+        rows = by_stage.select(
+            "tokens", "filtered_tokens", tokens.alias("a"), tx.drop_stop_words(tokens).alias("b")
+        ).collect()
+        for r in rows:
+            assert r["tokens"] == r["a"] and r["filtered_tokens"] == r["b"]
+    letters = PipelineModel(stages=ft.token_stages(SPEC)).transform(df).first()
+    assert letters["tokens"][:2] == ["don", "stop"] and "don" not in letters["filtered_tokens"]
+
+
+def test_vocabulary_is_independent_of_partitioning_and_breaks_ties_by_word(articles):
+    first = vocabulary_rows(articles.repartition(1))
+    assert vocabulary_rows(articles.repartition(7)) == first
+    rows, n_docs = first
+    assert n_docs == 120 and len(rows) == 30
+    assert [(-r[2], r[1]) for r in rows] == sorted((-r[2], r[1]) for r in rows)
+    assert [r[0] for r in rows] == list(range(30))
+
+
+def test_counts_and_idf_equal_the_ml_estimators(articles):
+    rows, n_docs = vocabulary_rows(articles, replace(SPEC, vocab_size=10000, min_df=1))
+    tokens = PipelineModel(stages=ft.token_stages(SPEC)).transform(articles)
+    cv = CountVectorizer(inputCol="filtered_tokens", outputCol="tf", vocabSize=10000, minDF=1).fit(tokens)
+    idf = IDF(inputCol="tf", outputCol="f").fit(cv.transform(tokens)).idf.toArray()
+    ours = {r[1]: r for r in rows}
+    assert set(ours) == set(cv.vocabulary)
+    for word, value in zip(cv.vocabulary, idf):
+        assert ours[word][4] == pytest.approx(value, abs=1e-12)
+
+
+def test_min_df_as_count_and_as_fraction(spark):
+    df = spark.createDataFrame(
+        [(1, "apple apple pear"), (2, "apple plum"), (3, "pear plum apple"), (4, "12 !")], "id bigint, text string"
+    )
+    rows, n = vocabulary_rows(df, ft.FeatureSpec(vocab_size=10, min_df=2))
+    assert n == 4  # a document without tokens counts
+    assert [(r[1], r[2], r[3]) for r in rows] == [("apple", 4, 3), ("pear", 2, 2), ("plum", 2, 2)]
+    assert rows[0][4] == pytest.approx(math.log(5 / 4))
+    assert [r[1] for r in vocabulary_rows(df, ft.FeatureSpec(min_df=0.6))[0]] == ["apple"]
+    with pytest.raises(ValueError, match="empty vocabulary"):
+        ft.fit_features(df, ft.FeatureSpec(min_df=9))
+
+
+def test_vectors_equal_the_ml_pipeline(articles):
+    for binary in (True, False):
+        spec = replace(SPEC, binary_tf=binary)
+        fitted = ft.fit_features(articles, spec)
+        tokens = PipelineModel(stages=ft.token_stages(spec)).transform(articles)
+        words = [w["word"] for w in fitted.vocabulary.words()]
+        from pyspark.ml.feature import CountVectorizerModel
+
+        cv = CountVectorizerModel.from_vocabulary(words, inputCol="filtered_tokens", outputCol="tf")
+        counted = cv.setBinary(binary).transform(tokens)
+        want = IDF(inputCol="tf", outputCol="f").fit(counted).transform(counted)
+        got = {r["id"]: r["features"] for r in fitted.transform(articles).collect()}
+        for r in want.select("id", "f").collect():
+            assert got[r["id"]].toArray() == pytest.approx(r["f"].toArray(), abs=1e-12)
+
+
+def test_term_frequency_and_tfidf(spark):
+    df = spark.createDataFrame([(1, "apple apple pear"), (2, "pear"), (3, "zzz")], "id bigint, text string")
+    fitted = ft.fit_features(df, ft.FeatureSpec(min_df=1, vocab_size=2, binary_tf=False))
+    got = {(r["id"], r["word"]): r["tf"] for r in ft.term_frequency(df, fitted).collect()}
+    assert got == {(1, "apple"): 2.0, (1, "pear"): 1.0, (2, "pear"): 1.0}
+    weights = {(r["id"], r["word"]): r["tfidf"] for r in ft.tfidf_weights(df, fitted).collect()}
+    assert weights[(1, "apple")] == pytest.approx(2 * math.log(4 / 2))
+    vectors = fitted.transform(df).select("id", sc.vector_total(F.col("features")).alias("t")).collect()
+    assert {r["id"]: r["t"] for r in vectors}[3] == 0.0
+
+
+def test_hashed_counts_keep_the_number_of_tokens(articles):
+    spec = replace(SPEC, binary_tf=False)
+    hashed = ft.hashed_features(articles, spec, 64).select(
+        F.size("filtered_tokens").alias("n"), sc.vector_total(F.col("features")).alias("t")
+    )
+    assert all(r["n"] == r["t"] for r in hashed.collect())
+
+
+def test_saved_stages_transform_alike(spark, articles, tmp_path):
+    fitted = ft.fit_features(articles, SPEC)
+    fitted.pipeline.write().overwrite().save(str(tmp_path / "p"))
+    again = PipelineModel.load(str(tmp_path / "p"))
+    a = {r["id"]: r["features"] for r in fitted.transform(articles).collect()}
+    b = {r["id"]: r["features"] for r in again.transform(articles).collect()}
+    assert a == b
+
+
+def test_oversized_vocabulary_is_refused_for_in_task_use(articles, monkeypatch):
+    vocabulary = ft.fit_vocabulary(articles, SPEC)
+    big = replace(vocabulary, size=replace(vocabulary.size, rows=10**9))
+    with pytest.raises(ValueError, match="exceeds"):
+        big.words()

@@ -1,0 +1,54 @@
+import math
+import random
+
+import pytest
+
+from lectern.operators import importance as im
+
+
+@pytest.fixture(scope="module")
+def values():
+    rng = random.Random(5)
+    a = [round(rng.random() ** 3, 2) for _ in range(80)]  # with ties
+    b = [round(x * 0.5 + rng.random(), 2) for x in a]
+    return a, b
+
+
+@pytest.fixture(scope="module")
+def table(spark, values):
+    rows = [(m, i, v) for m, vs in zip("ab", values) for i, v in enumerate(vs)]
+    return spark.createDataFrame(rows, "model string, idx int, importance double").repartition(5)
+
+
+def ranks(xs):
+    order = sorted(range(len(xs)), key=lambda i: (xs[i], i))
+    place = [0] * len(xs)
+    for position, i in enumerate(order):
+        place[i] = position
+    return place
+
+
+def test_concentration(table, values):
+    rows = {r["model"]: r for r in im.importance_concentration(table, 10).collect()}
+    for name, vs in zip("ab", values):
+        shares = [v / sum(vs) for v in vs]
+        hhi = sum(p * p for p in shares)
+        assert rows[name]["hhi"] == pytest.approx(hhi)
+        assert rows[name]["n_eff"] == pytest.approx(1 / hhi)
+        assert rows[name]["top_share"] == pytest.approx(sum(sorted(shares, reverse=True)[:10]))
+
+
+def test_spearman(table, values):
+    ra, rb = map(ranks, values)
+    mean = (len(ra) - 1) / 2
+    cov = sum((x - mean) * (y - mean) for x, y in zip(ra, rb))
+    want = cov / math.sqrt(sum((x - mean) ** 2 for x in ra) * sum((y - mean) ** 2 for y in rb))
+    row = im.importance_spearman(table, "a", "b").first()
+    assert row["spearman"] == pytest.approx(want) and row["n_features"] == 80
+
+
+def test_degenerate_inputs(spark):
+    one = spark.createDataFrame([("a", 0, 0.0), ("b", 0, 0.0)], "model string, idx int, importance double")
+    assert math.isnan(im.importance_spearman(one, "a", "b").first()["spearman"])
+    row = im.importance_concentration(one).filter("model = 'a'").first()
+    assert row["hhi"] == 0.0 and row["n_eff"] is None
