@@ -1,0 +1,35 @@
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from lectern.operators import features as ft
+from lectern.operators import models as md
+from lectern.operators import scoring as so
+from lectern.operators.clean import clean_text
+from lectern.streaming import scoring as stream
+
+
+@pytest.mark.parametrize("kind", ["table", "stages"])
+def test_arriving_files_are_scored_once(spark, articles, tmp_path, kind):
+    fitted = ft.fit_features(articles, ft.FeatureSpec(vocab_size=30, min_df=2))
+    model = md.ModelSpec("logreg", {"maxIter": 4}).estimator().fit(
+        md.as_training_rows(fitted.transform(articles))
+    )
+    if kind == "table":
+        weights = md.linear_weights(model, "lr", fitted.vocabulary).filter("idx >= 0")
+        scorer = so.LinearScorer.build(
+            fitted.vocabulary.table, weights, float(model.intercept), fitted.spec, True
+        )
+        batch = so.score_texts(clean_text(articles.select("id", "text")), scorer)
+    else:
+        scorer = PipelineModel(stages=[*fitted.pipeline.stages, model])
+        batch = md.batch_score(scorer, clean_text(articles.select("id", "text")), "id", "text")
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    docs = articles.select("id", "text")
+    for part in (F.col("id") < 50, F.col("id") >= 50):
+        docs.filter(part).write.mode("append").parquet(inbox)
+        arriving = stream.read_stream(spark, inbox, "id bigint, text string")
+        stream.run_available(stream.score_stream(arriving, scorer), out, mark).awaitTermination(120)
+    got = {r["id"]: r["prediction"] for r in spark.read.parquet(out).collect()}
+    assert spark.read.parquet(out).count() == 120
+    assert got == {r["id"]: r["prediction"] for r in batch.collect()}
