@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,8 +83,10 @@ class Demo:
     intercept: float
 
     def scorer(self, logistic: bool) -> LinearScorer:
+        vocabulary = self.fitted.vocabulary
         return LinearScorer.build(
-            self.fitted.vocabulary.table, self.weights, self.intercept, self.fitted.spec, logistic
+            vocabulary.table, self.weights, self.intercept, self.fitted.spec, logistic,
+            size=vocabulary.size,
         )
 
     def importances(self) -> DataFrame:
@@ -130,7 +133,5 @@ def demo_model(spark: SparkSession, sf_dir: str, spec: FeatureSpec = CHECK_SPEC)
     weights = materialize(
         per_word.select("idx", F.round(0.1 * odds, 9).alias("coefficient")), "weights"
     )
-    intercept = spark.range(1).select(
-        F.round(F.log(F.lit((n["real"] + 1.0) / (n["fake"] + 1.0))), 9)
-    ).first()[0]
+    intercept = round(math.log((n["real"] + 1.0) / (n["fake"] + 1.0)), 9)
     return Demo(docs, fitted, weights, intercept)

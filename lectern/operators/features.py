@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -114,6 +115,7 @@ class Vocabulary:
     n_docs: int
     size: LookupSize
 
+    @cached_property
     def words(self) -> list:
         """Rows (word, idf) in index order, for stages that keep the vocabulary
         in each task; refused beyond the lookup bounds."""
@@ -206,7 +208,7 @@ class FittedFeatures:
 def fit_features(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedFeatures:
     """Fit vocabulary and idf; pass the training rows only."""
     vocabulary = fit_vocabulary(df, spec)
-    stages = counting_stages(vocabulary.words(), spec)
+    stages = counting_stages(vocabulary.words, spec)
     return FittedFeatures(spec, vocabulary, PipelineModel(stages=stages))
 
 
@@ -232,7 +234,7 @@ def term_entries(df: DataFrame, fitted: FittedFeatures, *keep: str) -> DataFrame
     Counting happens inside each document's row; nothing is shuffled.
     """
     counts = replace(fitted.spec, use_idf=False)
-    counted = PipelineModel(stages=counting_stages(fitted.vocabulary.words(), counts)).transform(df)
+    counted = PipelineModel(stages=counting_stages(fitted.vocabulary.words, counts)).transform(df)
     return (
         counted.select("id", *keep, F.inline(sc.vector_entries(F.col(counts.output_col))))
         .withColumnRenamed("value", "tf")

@@ -40,14 +40,17 @@ class LinearScorer:
         spec: FeatureSpec,
         logistic: bool,
         threshold: float | None = None,
+        size: LookupSize | None = None,
     ) -> LinearScorer:
-        """Join two written artefact tables on idx and measure the result."""
+        """Join two written artefact tables on idx and measure the result, unless
+        the size of the vocabulary is known."""
         table = vocabulary.select("idx", "word", "idf").join(
             weights.select("idx", "coefficient"), "idx"
         )
         if threshold is None:
             threshold = LOGISTIC_THRESHOLD if logistic else MARGIN_THRESHOLD
-        return cls(table, intercept, spec, logistic, measure_lookup(table, "word"), threshold)
+        size = size or measure_lookup(table, "word")
+        return cls(table, intercept, spec, logistic, size, threshold)
 
 
 def _decided(docs: DataFrame, scorer: LinearScorer, margin: Column, *keep: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """The registered queries against their SQL, on the smallest test tables."""
 
 from collections import Counter
+from functools import cache
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as entry_point
+from catalog import tables as tb
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = Path("/root/testdata/sf0.001")
@@ -22,6 +24,16 @@ def con():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def fit_once():
+    """The fitted tables are written and do not change, so the tests share them."""
+    patch = pytest.MonkeyPatch()
+    for name in ("split_docs", "fit_train", "demo_model"):
+        patch.setattr(tb, name, cache(getattr(tb, name)))
+    yield
+    patch.undo()
+
+
 def test_every_statement_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
 

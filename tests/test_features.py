@@ -78,7 +78,7 @@ def test_vectors_equal_the_ml_pipeline(articles):
         spec = replace(SPEC, binary_tf=binary)
         fitted = ft.fit_features(articles, spec)
         tokens = PipelineModel(stages=ft.token_stages(spec)).transform(articles)
-        words = [w["word"] for w in fitted.vocabulary.words()]
+        words = [w["word"] for w in fitted.vocabulary.words]
         from pyspark.ml.feature import CountVectorizerModel
 
         cv = CountVectorizerModel.from_vocabulary(words, inputCol="filtered_tokens", outputCol="tf")
@@ -121,4 +121,4 @@ def test_oversized_vocabulary_is_refused_for_in_task_use(articles, monkeypatch):
     vocabulary = ft.fit_vocabulary(articles, SPEC)
     big = replace(vocabulary, size=replace(vocabulary.size, rows=10**9))
     with pytest.raises(ValueError, match="exceeds"):
-        big.words()
+        big.words
