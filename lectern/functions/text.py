@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -88,7 +88,8 @@ def is_token(word: Column, min_length: int = MIN_TOKEN_LENGTH) -> Column:
 
 
 def is_stop_word(word: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
-    return word.isin(*stop_words) if stop_words else F.lit(False)
+    """Membership of a lower-case word in the list, whatever the list's case."""
+    return word.isin(*(w.lower() for w in stop_words)) if stop_words else F.lit(False)
 
 
 def tokenize(text: Column, pattern: str = LETTERS_ONLY, min_length: int = MIN_TOKEN_LENGTH) -> Column:
@@ -101,17 +102,25 @@ def drop_stop_words(tokens: Column, stop_words: Sequence[str] = ENGLISH_STOP_WOR
     return F.filter(tokens, lambda w: ~is_stop_word(F.lower(w), stop_words))
 
 
-# Date spellings tried in this order.
-DATE_FORMATS: tuple[str, ...] = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
-    "d-MMM-yy",
-)
+# Date formats, each with the shape of the spellings it reads.
+DATE_FORMATS: dict[str, str] = {
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]": r"^\d{4}-\d{2}-\d{2} \d",
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+    "MMMM d, yyyy": r"^\p{Alpha}{4,} \d",
+    "MMM d, yyyy": r"^\p{Alpha}{3} \d",
+    "d-MMM-yy": r"^\d{1,2}-\p{Alpha}{3}-\d{2}$",
+}
+
 
+def parse_date(raw: Column, formats: Mapping[str, str] = DATE_FORMATS) -> Column:
+    """Date by the first format that fits, null when none does.
 
-def parse_date(raw: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Date by the first format that fits, null when none does."""
+    A format is tried only on spellings of its shape: each failed attempt costs
+    an exception, many times the price of the match.
+    """
     trimmed = F.trim(raw)
-    return F.to_date(F.coalesce(*(F.try_to_timestamp(trimmed, F.lit(f)) for f in formats)))
+    attempts = (
+        F.when(trimmed.rlike(shape), F.try_to_timestamp(trimmed, F.lit(fmt)))
+        for fmt, shape in formats.items()
+    )
+    return F.to_date(F.coalesce(*attempts))

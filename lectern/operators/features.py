@@ -51,6 +51,11 @@ class FeatureSpec:
 
 
 def token_stages(spec: FeatureSpec) -> list:
+    """Tokenizer and stop-word filter.
+
+    Tokens leave the tokenizer in lower case, so the filter ignores case by
+    comparing with the lower-cased list, without converting every token again.
+    """
     return [
         RegexTokenizer(
             inputCol=spec.input_col,
@@ -62,8 +67,8 @@ def token_stages(spec: FeatureSpec) -> list:
         StopWordsRemover(
             inputCol="tokens",
             outputCol="filtered_tokens",
-            stopWords=list(spec.stop_words),
-            caseSensitive=False,
+            stopWords=[w.lower() for w in spec.stop_words],
+            caseSensitive=True,
         ),
     ]
 

@@ -85,7 +85,9 @@ def train(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Run:
         rows = materialize(rows, "features", ["split"])
     parts = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")}
     with _timed(seconds, "train"):
-        trained = md.fit_models(parts["train"].drop("id"), parts["test"], preset.models)
+        trained = md.fit_models(
+            parts["train"].drop("id"), parts["test"], preset.models, fitted.vocabulary.n_docs
+        )
     run = Run(fitted, docs, trained, seconds=seconds)
     with _timed(seconds, "evaluate"):
         run.metrics = [md.timed_metrics(t) for t in trained]

@@ -40,6 +40,14 @@ def test_expressions_and_stages_give_the_same_tokens(spark):
     assert letters["tokens"][:2] == ["don", "stop"] and "don" not in letters["filtered_tokens"]
 
 
+def test_stop_words_match_in_any_case(spark):
+    df = spark.createDataFrame([(1, "Budget THE Roads budget")], "id bigint, text string")
+    spec = ft.FeatureSpec(stop_words=("BUDGET", "The"), min_df=1)
+    filtered = PipelineModel(stages=ft.token_stages(spec)).transform(df)
+    assert filtered.first()["filtered_tokens"] == ["roads"]
+    assert [r[1] for r in vocabulary_rows(df, spec)[0]] == ["roads"]
+
+
 def test_vocabulary_is_independent_of_partitioning_and_breaks_ties_by_word(articles):
     first = vocabulary_rows(articles.repartition(1))
     assert vocabulary_rows(articles.repartition(7)) == first
