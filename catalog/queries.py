@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -436,8 +437,9 @@ def model_comparison(spark, sf):
 
 @query
 def hashing_model(spark, sf):
-    _, metrics = runs.train_hashed(tb.corpus(spark, sf), "randomforest")
-    return spark.createDataFrame([metrics])
+    _, report = runs.train_hashed(tb.corpus(spark, sf), "logreg")
+    names = ("model", "tp", "tn", "fp", "fn", *METRICS)
+    return spark.createDataFrame([tuple(report[n] for n in names)], list(names))
 
 
 @query
@@ -449,6 +451,42 @@ def score_model(spark, sf):
     return rounded(md.batch_score(model, docs, "id"), "probability")
 
 
+def _agreement(by_model: DataFrame, by_tables: DataFrame) -> DataFrame:
+    """Documents scored both ways, and how many of them differ."""
+    a = by_model.select("id", F.col("score").alias("a"), F.col("prediction").alias("p"))
+    b = by_tables.select("id", F.col("score").alias("b"), F.col("prediction").alias("q"))
+    far = (F.abs(F.col("a") - F.col("b")) > 1e-9) | (F.col("p") != F.col("q"))
+    return a.join(b, "id", "full_outer").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if(F.coalesce(far, F.lit(True))).alias("n_differ")
+    )
+
+
+def _scored_both_ways(spark, sf, name: str, logistic: bool) -> DataFrame:
+    run = _run(spark, sf, name)
+    model, vocabulary = run.trained[0].model, run.features.vocabulary
+    docs = cl.clean_text(tb.unlabelled(spark, sf)).select("id", "text")
+    by_model = model.transform(run.features.transform(docs)).withColumn(
+        "score", vector_to_array("rawPrediction")[1]
+    )
+    weights = md.linear_weights(model, name, vocabulary).filter("idx >= 0")
+    scorer = so.LinearScorer.build(
+        vocabulary.table, weights, float(model.intercept), run.features.spec, logistic,
+        size=vocabulary.size,
+    )
+    return _agreement(by_model, so.score_by_lookup(docs, scorer))
+
+
+@query
+def logreg_agreement(spark, sf):
+    """A trained model and its exported tables score every document alike."""
+    return _scored_both_ways(spark, sf, "logreg", True)
+
+
+@query
+def linearsvc_agreement(spark, sf):
+    return _scored_both_ways(spark, sf, "linearsvc", False)
+
+
 @query
 def linear_weights(spark, sf):
     run = _run(spark, sf, "linearsvc")

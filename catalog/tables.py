@@ -104,7 +104,7 @@ class Demo:
 
 
 def split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(sm.assign_split(prepared(spark, sf_dir)), "documents", ["split"])
+    return materialize(sm.assign_split(prepared(spark, sf_dir)), "documents")
 
 
 def fit_train(spark: SparkSession, sf_dir: str, spec: FeatureSpec = CHECK_SPEC):

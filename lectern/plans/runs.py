@@ -6,7 +6,8 @@ import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
@@ -25,6 +26,16 @@ from lectern.sources.readers import load_corpus
 from lectern.sources.schema import drop_invalid
 
 
+# Settings that a run report repeats.
+REPORTED_CONF = (
+    "spark.master",
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.coalescePartitions.enabled",
+    "spark.serializer",
+)
+
+
 @dataclass
 class Run:
     """What a run leaves behind: tables and models, all lazy or written."""
@@ -34,6 +45,7 @@ class Run:
     trained: list[md.Trained]
     metrics: list[dict] = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)
+    dataset: dict = field(default_factory=dict)
 
 
 @contextmanager
@@ -61,23 +73,28 @@ def prepare(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Dat
     return sm.assign_split(docs, seed=preset.seed)
 
 
-def exploration_frame(raw_folder, spark, key: str | None = None) -> DataFrame:
+def exploration_frame(spark: SparkSession, folder: str, key: str | None = None) -> DataFrame:
     """Loaded, labelled, cleaned and de-duplicated corpus of a dataset folder.
     Persist it yourself if several queries follow."""
-    return cl.dedup_text(cl.clean_text(load_corpus(spark, raw_folder)), key)
+    return cl.dedup_text(cl.clean_text(load_corpus(spark, folder)), key)
 
 
-def train(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Run:
+def train(
+    corpus: DataFrame, preset: ps.Preset, key: str | None = "id", account: bool = False
+) -> Run:
     """Prepare, fit the features on the training rows only, fit the models.
 
-    Two tables are written on the way, the prepared documents (by split) and
-    their features.  Each is read a fixed number of times, and losing executors
+    Two tables are written on the way, the prepared documents and their features
+    (by split).  Each is read a fixed number of times, and losing executors
     costs the tasks they ran, not the plan before them.
+
+    ``account`` adds the rows before and after cleaning to the run; that reads
+    and cleans the corpus once more.
     """
     md.check_specs(preset.models)
     seconds: dict[str, float] = {}
     with _timed(seconds, "clean"):
-        docs = materialize(prepare(corpus, preset, key), "documents", ["split"])
+        docs = materialize(prepare(corpus, preset, key), "documents")
         train_docs = require_both_classes(docs.filter(F.col("split") == "train"))
     with _timed(seconds, "features"):
         fitted = fit_features(train_docs, preset.features)
@@ -89,6 +106,9 @@ def train(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Run:
             parts["train"].drop("id"), parts["test"], preset.models, fitted.vocabulary.n_docs
         )
     run = Run(fitted, docs, trained, seconds=seconds)
+    if account:
+        report = cl.clean_report(corpus, preset.min_text_length) if preset.clean else None
+        run.dataset = report.first().asDict() if report else {"rows_before": corpus.count()}
     with _timed(seconds, "evaluate"):
         run.metrics = [md.timed_metrics(t) for t in trained]
     return run
@@ -133,6 +153,8 @@ def save_run(run: Run, folder: str, run_id: str = "run") -> dict:
     sinks.write_comparison(spark.createDataFrame(rows), folder, run_id)
     report = {
         "run_id": run_id,
+        "spark_conf": {name: spark.conf.get(name, None) for name in REPORTED_CONF},
+        "dataset": run.dataset,
         "features": run.features.meta(),
         "times_sec": run.seconds,
         "params": {m.name: dict(m.spec.params) for m in run.trained},
@@ -150,8 +172,8 @@ def train_hashed(
     num_features: int = ps.HASHED_NUM_FEATURES,
     key: str | None = "id",
     seed: int = 42,
-):
-    """One classifier on hashed counts, no idf: (fitted pipeline, metrics row)."""
+) -> tuple[PipelineModel, dict]:
+    """One classifier on hashed counts, no idf: (fitted stages, report row)."""
     spec = ps.HASHED_MODELS.get(model) or md.ModelSpec(model)
     md.check_specs([spec])
     shape = ps.Preset(
@@ -160,13 +182,23 @@ def train_hashed(
     )
     docs = prepare(corpus, shape, key)
     docs = docs.withColumn("label", F.col("label").cast("double"))
-    docs = materialize(docs.select("id", "text", "label", "split"), "documents", ["split"])
+    docs = materialize(docs.select("id", "text", "label", "split"), "documents")
     train_docs = docs.filter(F.col("split") == "train")
     began = time.perf_counter()
     fitted = md.hashing_model(spec, ps.HASHED_FEATURES, num_features).fit(train_docs)
     seconds = time.perf_counter() - began
     predictions = fitted.transform(docs.filter(F.col("split") == "test"))
-    return fitted, md.timed_metrics(md.Trained(spec, fitted, predictions, seconds))
+    metrics = md.timed_metrics(md.Trained(spec, fitted, predictions, seconds))
+    shape = {"debug_rows": debug_rows, "max_chars": max_chars, "num_features": num_features}
+    return fitted, {**metrics, **shape}
+
+
+def save_hashed(fitted: PipelineModel, report: dict, folder: str, run_id: str = "run") -> str:
+    """Write the fitted stages and the report of a hashed run."""
+    name = report["model"]
+    sinks.save_model(fitted, f"{folder}/models", f"{name}_hashed")
+    spark = SparkSession.active()
+    return sinks.write_run_report(spark, report, f"{folder}/{name}_{run_id}")
 
 
 def score_saved(

@@ -25,7 +25,19 @@ SMALL = ps.Preset(
 
 @pytest.fixture(scope="module")
 def run(articles):
-    return runs.train(articles, SMALL)
+    return runs.train(articles, SMALL, account=True)
+
+
+def test_dataset_counts(run):
+    assert (run.dataset["rows_before"], run.dataset["rows_after"], run.dataset["dropped"]) == (120, 120, 0)
+
+
+def test_exploration_frame(spark, articles, tmp_path):
+    for label, name in ((1, "True.csv"), (0, "Fake.csv")):
+        part = articles.filter(F.col("label") == label).drop("label", "id")
+        part.write.csv(str(tmp_path / name), header=True, quote='"', escape='"')
+    df = runs.exploration_frame(spark, str(tmp_path))
+    assert df.count() == 120 and df.filter("label = 0").count() == 40
 
 
 def test_every_model_beats_the_majority_class(run):
@@ -90,6 +102,7 @@ def test_saved_run_scores_as_the_model_did(spark, run, articles, tmp_path):
     loaded = af.load_stages(spark, f"{folder}/feature_artifacts")
     assert loaded.transform(docs).count() == 120
     text = spark.read.text(f"{folder}/run_report").first()["value"]
+    assert json.loads(text)["dataset"]["rows_before"] == 120
     assert json.loads(text)["models"]["gbt"]["tp"] == report["models"]["gbt"]["tp"]
     header = next(Path(f"{folder}/model_comparison_r1_csv").glob("*.csv")).read_text().splitlines()
     assert header[0] == (
@@ -127,10 +140,15 @@ def test_sample_fraction_and_clip(articles):
     assert docs.agg(F.max(F.length("text"))).first()[0] == 40
 
 
-def test_hashed_run(articles):
+def test_hashed_run(articles, tmp_path):
     fitted, metrics = runs.train_hashed(articles, "logreg", num_features=256)
     assert metrics["model"] == "logreg" and metrics["f1"] > 0.8
     assert len(fitted.stages) == 4
+    path = runs.save_hashed(fitted, metrics, str(tmp_path / "hashed"), "r2")
+    report = json.loads(articles.sparkSession.read.text(path).first()["value"])
+    assert report["num_features"] == 256 and report["tp"] == metrics["tp"]
+    again = PipelineModel.load(str(tmp_path / "hashed/models/logreg_hashed"))
+    assert again.transform(articles).count() == 120
 
 
 def test_presets_hold_the_published_sizes():
