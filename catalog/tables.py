@@ -70,7 +70,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     keys = cl.content_keys(cl.clean_text(documents(spark, sf_dir)))
     keys = keys.join(labels(spark, sf_dir), "id", "left_semi")
-    return cl.dedup_text(cl.clean_text(corpus(spark, sf_dir)), "id", keys)
+    return cl.clean_and_dedup(corpus(spark, sf_dir), keys=keys)
 
 
 @dataclass(frozen=True)

@@ -31,6 +31,14 @@ def clean_text(
     return out.select(*df.columns)
 
 
+def clean_columns(df: DataFrame) -> DataFrame:
+    """Cleaned text and title, all rows kept."""
+    cleaned = {"text": tx.clean_body(F.col("text"))}
+    if "title" in df.columns:
+        cleaned["title"] = tx.clean_title(F.col("title"))
+    return df.withColumns(cleaned)
+
+
 def content_keys(df: DataFrame, key: str = "id") -> DataFrame:
     """(key, text_hash): all that de-duplication needs to know about a row."""
     return df.select(tx.row_key(key).alias(key), tx.content_hash(F.col("text")).alias("text_hash"))
@@ -58,12 +66,31 @@ def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = N
             .agg(F.min(row).alias("_row"))
             .select("_row.*")
         )
-    if keys is None:
-        keys = content_keys(df, key)
-    survivors = keys.groupBy("text_hash").agg(F.min(key).alias(key)).select(key)
+    survivors = _surviving(content_keys(df, key) if keys is None else keys, key)
     return df.join(survivors, key, "left_semi")
 
 
+def _surviving(keys: DataFrame, key: str) -> DataFrame:
+    return keys.groupBy("text_hash").agg(F.min(key).alias(key)).select(key)
+
+
+def clean_and_dedup(
+    df: DataFrame,
+    min_text_length: int = MIN_TEXT_LENGTH,
+    key: str = "id",
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """``dedup_text(clean_text(df))`` for a unique key, arranged for the optimizer.
+
+    A surviving key has passed every filter of the cleaner, so the rows are only
+    filtered by key and cleaned afterwards.  A query that does not use the texts
+    then never reads them here, and no rejected or repeated text is cleaned.
+    """
+    if keys is None:
+        keys = content_keys(clean_text(df.select(key, "text"), min_text_length), key)
+    return clean_columns(df.join(_surviving(keys, key), key, "left_semi"))
+
+
 def dedup_text_any(df: DataFrame) -> DataFrame:
     """One arbitrary row per distinct text: cheapest when no key exists and the
     choice does not matter."""

@@ -62,8 +62,10 @@ def prepare(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Dat
     becomes its ``id``: after de-duplication it is unique and stable.
     """
     docs = drop_invalid(corpus)
-    if preset.clean:
-        docs = cl.dedup_text(cl.clean_text(docs, preset.min_text_length), key)
+    if preset.clean and key is None:
+        docs = cl.dedup_text(cl.clean_text(docs, preset.min_text_length), None)
+    elif preset.clean:
+        docs = cl.clean_and_dedup(docs, preset.min_text_length, key)
     docs = docs.withColumn("text", tx.clip(F.col("text"), preset.max_chars))
     docs = docs.withColumn("id", tx.content_hash(F.col("text")) if key is None else F.col(key))
     if preset.sample_fraction is not None:

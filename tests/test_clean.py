@@ -124,6 +124,23 @@ def test_cleaning_evaluates_the_text_once(spark):
     assert plan.count("<[^>]+>") == 1
 
 
+def test_both_arrangements_of_cleaning_and_dedup_agree(spark):
+    values = ["a" * 30, " A" + "a" * 29, "short", None, "  ", "<b>x</b> " + "y" * 30, "B" * 31]
+    df = spark.createDataFrame(
+        [(i, f"T {i}", v) for i, v in enumerate(values)], "id bigint, title string, text string"
+    )
+    want = sorted(map(tuple, cl.dedup_text(cl.clean_text(df)).collect()))
+    assert sorted(map(tuple, cl.clean_and_dedup(df).collect())) == want
+    assert [r[0] for r in want] == [0, 5, 6]
+
+
+def test_counting_after_dedup_reads_no_text_for_the_rows(spark, tmp_path):
+    labelled(spark).write.parquet(str(tmp_path / "c"))
+    counted = cl.clean_and_dedup(spark.read.parquet(str(tmp_path / "c")), 1).groupBy("label").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<id:bigint,label:int>") == 1
+
+
 def test_clip(spark):
     row = texts(spark, "abcdef").select(
         tx.clip(F.col("text"), 3).alias("a"), tx.clip(F.col("text"), None).alias("b")
