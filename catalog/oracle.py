@@ -189,9 +189,11 @@ _SELECTS: dict[str, str] = {
         WHERE length(trim(text, ' ')) > 0""",
     "normalize_schema": "SELECT id, text AS title, text, subject, date, label FROM corpus",
     "drop_invalid": """
-        SELECT d.id, split_part(d.text, chr(10), 2) AS text, CAST(l.quality AS INTEGER) AS label
-        FROM docs d JOIN labels l ON d.id = l.doc_id
-        WHERE l.quality IS NOT NULL AND length(trim(split_part(d.text, chr(10), 2), ' ')) > 0""",
+        SELECT * FROM (
+          SELECT d.doc_id AS id, CAST(l.quality AS INTEGER) AS label,
+                 CASE WHEN lang = 'es' THEN '   ' WHEN lang <> 'de' THEN text END AS text
+          FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+        WHERE label IS NOT NULL AND text IS NOT NULL AND length(trim(text, ' ')) > 0""",
     "unlabelled_docs": "SELECT id, title, text, subject FROM unlabelled",
     "score_inputs": "SELECT id, text FROM bench_docs",
     "clean_text": "SELECT id, title, text, subject FROM clean_docs",

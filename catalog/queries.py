@@ -80,10 +80,10 @@ def normalize_schema(spark, sf):
 
 @query
 def drop_invalid(spark, sf):
-    """Second lines as texts: often empty, and often without a label."""
-    docs = tb.documents(spark, sf).select(
-        "id", F.split_part("text", F.lit("\n"), F.lit(2)).alias("text")
-    )
+    """Documents with or without a label; Spanish texts become blank, German null."""
+    lang = F.col("lang")
+    text = F.when(lang == "es", "   ").when(lang != "de", F.col("text"))
+    docs = tb.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), text.alias("text"))
     return sh.drop_invalid(docs.join(tb.labels(spark, sf), "id", "left"))
 
 

@@ -27,6 +27,13 @@ def write_report_rows(rows: DataFrame, path: str) -> str:
     return path
 
 
+def save_by_key(df: DataFrame, table: str, buckets: int, key: str = "id") -> str:
+    """A table bucketed and sorted by its key.  Joins and de-duplication by the
+    key then move none of its rows."""
+    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
+    return table
+
+
 def write_metrics(metrics: DataFrame, folder: str, model: str) -> str:
     """Metrics of one model, with the four counts also as a nested struct."""
     cells = F.struct("tp", "tn", "fp", "fn").alias("confusion_matrix")

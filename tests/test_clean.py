@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators import clean as cl
+from lectern.sources import sinks
 from lectern.sources.schema import CORPUS_SCHEMA
 
 
@@ -141,6 +142,43 @@ def test_counting_after_dedup_reads_no_text_for_the_rows(spark, tmp_path):
     assert plan.count("ReadSchema: struct<id:bigint,label:int>") == 1
 
 
+def _plan_without_broadcast(spark, build):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return build()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_that_lie_by_key_are_not_shuffled_again(spark):
+    """Neither in a bucketed table nor after a join by the key."""
+    sinks.save_by_key(labelled(spark), "corpus_by_id", 4)
+    stored = spark.table("corpus_by_id")
+    plan = _plan_without_broadcast(spark, lambda: cl.clean_and_dedup(stored, 1))
+    wide = plan.split("LeftSemi")[1].split("HashAggregate")[0]
+    assert wide.count("Exchange hashpartitioning") == 1  # of the survivors' keys
+    marks = stored.select("id", "label")
+    texts_only = labelled(spark).drop("label")
+    keys = cl.content_keys(texts_only)
+    plan = _plan_without_broadcast(
+        spark, lambda: cl.clean_and_dedup(texts_only.join(marks, "id"), 1, keys=keys)
+    )
+    wide = plan.split("LeftSemi")[1].split("HashAggregate")[0]
+    assert wide.count("Exchange hashpartitioning") <= 2  # the join's, and the keys'
+
+
+def test_copies_collapse_before_the_shuffle(spark):
+    """One text holding most rows leaves one key per task."""
+    df = spark.range(0, 3000, 1, 6).selectExpr(
+        "id", "if(id % 3 = 0, concat('unique text ', id), 'the same text') as text"
+    )
+    survivors = cl.dedup_text(df)
+    assert survivors.count() == 1001
+    plan = _plan_without_broadcast(spark, lambda: survivors.select("id"))
+    assert "partial_min(id" in plan
+
+
 def test_clip(spark):
     row = texts(spark, "abcdef").select(
         tx.clip(F.col("text"), 3).alias("a"), tx.clip(F.col("text"), None).alias("b")
