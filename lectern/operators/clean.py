@@ -40,14 +40,14 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 
 def content_keys(df: DataFrame, key: str = "id") -> DataFrame:
-    """(key, text_hash): all that de-duplication needs to know about a row."""
-    return df.select(tx.row_key(key).alias(key), tx.content_hash(F.col("text")).alias("text_hash"))
+    """(key, digest): all that de-duplication needs to know about a row."""
+    return df.select(tx.row_key(key).alias(key), tx.content_digest(F.col("text")).alias("digest"))
 
 
 def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = None) -> DataFrame:
     """One row per distinct text: the one with the smallest key.
 
-    With a unique key, survivors are found on (key, hash) pairs alone.  Those
+    With a unique key, survivors are found on (key, digest) pairs alone.  Those
     aggregate on the map side, so a text with very many copies costs one short
     row per map task.  The wide rows are then filtered by key, which is evenly
     spread, and not shuffled at all if they already lie by key (after a join on
@@ -62,7 +62,7 @@ def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = N
     if key is None:
         row = F.struct(*df.columns)
         return (
-            df.groupBy(tx.content_hash(F.col("text")).alias("_hash"))
+            df.groupBy(tx.content_digest(F.col("text")).alias("_digest"))
             .agg(F.min(row).alias("_row"))
             .select("_row.*")
         )
@@ -71,7 +71,7 @@ def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = N
 
 
 def _surviving(keys: DataFrame, key: str) -> DataFrame:
-    return keys.groupBy("text_hash").agg(F.min(key).alias(key)).select(key)
+    return keys.groupBy("digest").agg(F.min(key).alias(key)).select(key)
 
 
 def clean_and_dedup(
@@ -104,8 +104,8 @@ def duplicate_groups(df: DataFrame, key: str = "id") -> DataFrame:
     ``n_labels`` above 1 marks a text that carries contradicting labels.
     """
     return (
-        df.select(key, "label", tx.content_hash(F.col("text")).alias("text_hash"))
-        .groupBy("text_hash")
+        df.select(key, "label", tx.content_digest(F.col("text")).alias("digest"))
+        .groupBy("digest")
         .agg(
             F.count(F.lit(1)).alias("copies"),
             F.min(key).alias("min_id"),
@@ -115,6 +115,7 @@ def duplicate_groups(df: DataFrame, key: str = "id") -> DataFrame:
             ).alias("n_labels"),
         )
         .filter(F.col("copies") > 1)
+        .select(F.lower(F.hex("digest")).alias("text_hash"), "copies", "min_id", "n_labels")
     )
 
 
@@ -132,7 +133,7 @@ def clean_report(
         ).alias("text")
     )
     hashed = body.select(
-        F.when(F.length("text") >= min_text_length, tx.content_hash(F.col("text"))).alias("h")
+        F.when(F.length("text") >= min_text_length, tx.content_digest(F.col("text"))).alias("h")
     )
     per_hash = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     after = F.count("h") if dedup else F.sum(F.when(F.col("h").isNotNull(), F.col("n")))

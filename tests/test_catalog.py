@@ -46,6 +46,9 @@ def test_query_equals_sql(spark, con, name):
     result = con.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == names
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert node not in plan
     order = [columns.index(n) for n in names]
     assert got == Counter(tuple(row[i] for i in order) for row in result.fetchall())
 
