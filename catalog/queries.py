@@ -254,13 +254,13 @@ def idf_values(spark, sf):
 @query
 def term_frequency(spark, sf):
     docs, fitted = tb.fit_train(spark, sf, tb.COUNT_SPEC)
-    return ft.term_frequency(docs, fitted)
+    return ft.term_frequency(docs, fitted.vocabulary, fitted.spec)
 
 
 @query
 def tfidf_weights(spark, sf):
     docs, fitted = tb.fit_train(spark, sf)
-    return rounded(ft.tfidf_weights(docs, fitted), "idf", "tfidf")
+    return rounded(ft.tfidf_weights(docs, fitted.vocabulary, fitted.spec), "idf", "tfidf")
 
 
 @query

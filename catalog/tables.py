@@ -120,7 +120,7 @@ def demo_model(spark: SparkSession, sf_dir: str, spec: FeatureSpec = CHECK_SPEC)
         F.count_if(F.col("label") == 1).alias("real"), F.count_if(F.col("label") == 0).alias("fake")
     ).first()
     per_word = (
-        term_entries(train, fitted, "label")
+        term_entries(train, fitted.vocabulary, spec, "label")
         .groupBy("idx")
         .agg(
             F.count_if(F.col("label") == 1).alias("real"),

@@ -30,6 +30,7 @@ from lectern.plans.storage import (
     MAX_LOOKUP_BYTES,
     MAX_LOOKUP_ROWS,
     LookupSize,
+    lookup_join,
     materialize,
     measure_lookup,
 )
@@ -233,34 +234,49 @@ def hashed_features(df: DataFrame, spec: FeatureSpec, num_features: int = 1 << 1
     return PipelineModel(stages=hashing_stages(spec, num_features)).transform(df)
 
 
-def term_entries(df: DataFrame, fitted: FittedFeatures, *keep: str) -> DataFrame:
-    """Count of each vocabulary index per document (1 when binary).
-
-    Counting happens inside each document's row; nothing is shuffled.
-    """
-    counts = replace(fitted.spec, use_idf=False)
-    counted = PipelineModel(stages=counting_stages(fitted.vocabulary.words, counts)).transform(df)
-    return (
-        counted.select("id", *keep, F.inline(sc.vector_entries(F.col(counts.output_col))))
-        .withColumnRenamed("value", "tf")
+def _entries_in_place(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
+    """(id, idx, tf), counted inside each document's row: nothing is shuffled."""
+    counts = replace(spec, use_idf=False)
+    counted = PipelineModel(stages=counting_stages(vocabulary.words, counts)).transform(df)
+    entries = sc.vector_entries(F.col(counts.output_col))
+    return counted.select("id", *keep, F.inline(entries)).withColumnRenamed("value", "tf")
+
+
+def _entries_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
+    """(id, idx, tf) for a vocabulary too large to hold: counts per document and
+    word, then a join with the words.  The rows of a document lie together, so
+    the counts are nearly complete before they are shuffled."""
+    pieces = tx.split_words(F.col(spec.input_col), spec.pattern)
+    if spec.binary_tf:
+        pieces = F.array_distinct(pieces)
+    word = F.col("word")
+    rows = df.select("id", *keep, F.explode(pieces).alias("word")).filter(
+        tx.is_token(word, spec.min_token_length) & ~tx.is_stop_word(word, spec.stop_words)
     )
+    counted = rows.groupBy("id", *keep, "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    words = vocabulary.table.select("word", "idx")
+    return lookup_join(counted, words, "word", vocabulary.size).drop("word")
 
 
-def term_frequency(df: DataFrame, fitted: FittedFeatures, *keep: str) -> DataFrame:
-    """``term_entries`` with the words; the broadcast vocabulary is measured small."""
-    words = fitted.vocabulary.table.select("idx", "word")
-    return (
-        term_entries(df, fitted, *keep)
-        .join(F.broadcast(words), "idx")
-        .select("id", *keep, "idx", "word", "tf")
-    )
+def term_entries(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, *keep: str) -> DataFrame:
+    """Count of each vocabulary index per document (1 when binary)."""
+    count = _entries_in_place if vocabulary.size.small else _entries_by_join
+    return count(df, vocabulary, spec, keep).select("id", *keep, "idx", "tf")
+
 
+def term_frequency(
+    df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, *keep: str
+) -> DataFrame:
+    """``term_entries`` with the words."""
+    words = vocabulary.table.select("idx", "word")
+    entries = term_entries(df, vocabulary, spec, *keep)
+    return lookup_join(entries, words, "idx", vocabulary.size).select("id", *keep, "idx", "word", "tf")
 
-def tfidf_weights(df: DataFrame, fitted: FittedFeatures) -> DataFrame:
+
+def tfidf_weights(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec) -> DataFrame:
     """Per document and vocabulary word: tf, idf and their product."""
-    words = fitted.vocabulary.table.select("idx", "word", "idf")
-    return (
-        term_entries(df, fitted)
-        .join(F.broadcast(words), "idx")
-        .select("id", "idx", "word", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    words = vocabulary.table.select("idx", "word", "idf")
+    entries = lookup_join(term_entries(df, vocabulary, spec), words, "idx", vocabulary.size)
+    return entries.select(
+        "id", "idx", "word", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )

@@ -100,14 +100,27 @@ def test_vectors_equal_the_ml_pipeline(articles):
 def test_term_frequency_and_tfidf(spark):
     df = spark.createDataFrame([(1, "apple apple pear"), (2, "pear"), (3, "zzz")], "id bigint, text string")
     fitted = ft.fit_features(df, ft.FeatureSpec(min_df=1, vocab_size=2, binary_tf=False))
-    got = {(r["id"], r["word"]): r["tf"] for r in ft.term_frequency(df, fitted).collect()}
+    vocabulary, spec = fitted.vocabulary, fitted.spec
+    got = {(r["id"], r["word"]): r["tf"] for r in ft.term_frequency(df, vocabulary, spec).collect()}
     assert got == {(1, "apple"): 2.0, (1, "pear"): 1.0, (2, "pear"): 1.0}
-    weights = {(r["id"], r["word"]): r["tfidf"] for r in ft.tfidf_weights(df, fitted).collect()}
+    weights = {(r["id"], r["word"]): r["tfidf"] for r in ft.tfidf_weights(df, vocabulary, spec).collect()}
     assert weights[(1, "apple")] == pytest.approx(2 * math.log(4 / 2))
     vectors = fitted.transform(df).select("id", sc.vector_total(F.col("features")).alias("t")).collect()
     assert {r["id"]: r["t"] for r in vectors}[3] == 0.0
 
 
+@pytest.mark.parametrize("binary", [True, False])
+def test_a_vocabulary_too_large_to_hold_gives_the_same_counts(articles, binary):
+    spec = replace(SPEC, binary_tf=binary)
+    vocabulary = ft.fit_vocabulary(articles, spec)
+    large = replace(vocabulary, size=replace(vocabulary.size, rows=10**9))
+    for operator in (ft.term_frequency, ft.tfidf_weights):
+        small_rows = sorted(map(tuple, operator(articles, vocabulary, spec).collect()))
+        salted = operator(articles, large, spec)
+        assert "_salt" in salted._jdf.queryExecution().toString()
+        assert sorted(map(tuple, salted.collect())) == small_rows and small_rows
+
+
 def test_hashed_counts_keep_the_number_of_tokens(articles):
     spec = replace(SPEC, binary_tf=False)
     hashed = ft.hashed_features(articles, spec, 64).select(
