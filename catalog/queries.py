@@ -407,7 +407,7 @@ def _run(spark, sf, *names: str) -> runs.Run:
 
 def _train_metrics(spark, sf, *names: str) -> DataFrame:
     run = _run(spark, sf, *names)
-    return rounded(md.compare_models(run.trained), *METRICS, "train_seconds")
+    return rounded(md.comparison_table(run.trained), *METRICS, "train_seconds")
 
 
 @query

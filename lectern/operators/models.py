@@ -104,7 +104,7 @@ def fit_models(
     return results
 
 
-def compare_models(trained: Sequence[Trained]) -> DataFrame:
+def comparison_table(trained: Sequence[Trained]) -> DataFrame:
     """One row per model: training time and metrics, one scan of the test rows
     per model and one shuffle for all of them."""
     parts = [

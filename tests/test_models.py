@@ -51,7 +51,7 @@ def test_every_model_beats_the_majority_class(run):
 
 
 def test_comparison_table_agrees_with_single_metrics(run):
-    rows = {r["model"]: r for r in md.compare_models(run.trained).collect()}
+    rows = {r["model"]: r for r in md.comparison_table(run.trained).collect()}
     for m in run.metrics:
         assert all(rows[m["model"]][c] == m[c] for c in ("tp", "tn", "fp", "fn", "total"))
 
