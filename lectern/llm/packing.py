@@ -32,13 +32,19 @@ MAX_CAPACITY = 1 << 16
 #: Pieces of one length that are ranked in one task, about.
 RANKED_TOGETHER = 200_000
 #: Chunks of text, and words, whose ids a worker remembers.
-_REMEMBERED = 600_000
+_REMEMBERED = 1_200_000
+#: Words encoded as one text.
+_TOGETHER = 200
 #: Letters below this code point are lower-cased one by one.
 _PLAIN_END = "\u0130"
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+def _plain(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) < _PLAIN_END)
+
+
 class ChunkEncoder:
     """Token ids of whole texts, remembering the ids of chunks.
 
@@ -54,20 +60,37 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.chunks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.word_ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @staticmethod
     def _parts(chunk: bytes) -> tuple[str, str]:
         text = chunk.decode("utf-8", "replace")
         body, tail = (text[:-1], text[-1]) if text[-1] in ".," else (text, "")
-        if body.isalpha() and max(body) < _PLAIN_END:
-            return body.lower(), tail
-        return text, ""
+        return (body.lower(), tail) if _plain(body) else (text, "")
+
+    def _encode_parts(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of each part; plain words are encoded together and cut at word ends."""
+        words, rest = [], []
+        for part in parts:
+            (words if _plain(part) else rest).append(part)
+        runs = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(x) for x in runs], add_special_tokens=False)
+        for run, encoded in zip(runs, joined, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(self.word_ends[ids]) + 1
+            if len(ends) != len(run):  # the tokenizer parts some of these words
+                rest += run
+                continue
+            raw, cuts = ids.tobytes(), [0, *(ends * 4).tolist()]
+            yield from zip(run, (raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)), strict=True)
+        single = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        yield from zip(rest, (np.array(e.ids, "<u4").tobytes() for e in single), strict=True)
 
     def _learn(self, chunks: set[bytes]) -> None:
         parts = [(c, self._parts(c)) for c in chunks]
-        new = list({x for _, pair in parts for x in pair if x not in self.parts})
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.parts.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, encoded, strict=True))
+        self.parts.update(self._encode_parts(list({x for _, pair in parts for x in pair if x not in self.parts})))
         self.chunks.update((c, self.parts[body] + self.parts[tail]) for c, (body, tail) in parts)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -76,8 +99,12 @@ class ChunkEncoder:
             self.chunks.clear()
             self.parts.clear()
         known = self.chunks
-        self._learn({c for chunks in split for c in chunks if c not in known})
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), "<u4") for chunks in split]
+        ids = [list(map(known.get, chunks)) for chunks in split]
+        gaps = [(i, j) for i, got in enumerate(ids) if None in got for j, x in enumerate(got) if x is None]
+        self._learn({split[i][j] for i, j in gaps})
+        for i, j in gaps:
+            ids[i][j] = known[split[i][j]]
+        return [np.frombuffer(b"".join(got), "<u4") for got in ids]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
