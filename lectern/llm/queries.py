@@ -46,7 +46,7 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.archive_pages(table(spark, sf_dir, "pages"))
+    records = warc.archive_pages(table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

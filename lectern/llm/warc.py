@@ -38,7 +38,7 @@ MAX_SHARDS = 10_000
 #: Gap between two records that is read over instead of opening a new range.
 JOINED_GAP = 64 << 10
 #: Longest range that is read at once.
-JOINED_BYTES = 8 << 20
+JOINED_BYTES = 2 << 20
 
 _RECORDED = "2024-01-01T00:00:00Z"
 _END = b"\r\n\r\n"
@@ -316,9 +316,14 @@ def locate(index: CaptureIndex, queries: DataFrame, group_rows: int = SHARD_ROWS
     )
 
 
-def read_records(places: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Read the byte ranges; records near each other in an archive share a range."""
+def read_records(places: DataFrame, payloads: bool = True, partitions: int | None = None) -> DataFrame:
+    """Read the byte ranges; records near each other in an archive share a range.
+
+    Without ``payloads`` these are read and checked as well, but not returned.
+    """
     spark = places.sparkSession
+    schema = RECORD if payloads else RECORD.removesuffix(", payload binary")
+    columns = [x.split()[0] for x in schema.split(", ")]
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -343,27 +348,30 @@ def read_records(places: DataFrame, partitions: int | None = None) -> DataFrame:
                         filesystem, path = _filesystem(archive)
                         source, opened = filesystem.open_input_file(path), archive
                     data = source.read_at(end - first, first)
-                    found = [decode_record(data[s - first : s - first + n]) for _, s, n in ranges[at:last]]
-                    frame = pd.DataFrame(found).astype({"page_id": "Int64", "refers_to": "Int64"})
-                    yield frame[[x.split()[0] for x in RECORD.split(", ")]]
+                    found = []
+                    for _, start, size in ranges[at:last]:
+                        record = decode_record(data[start - first : start - first + size])
+                        found.append([record[c] for c in columns])
+                    frame = pd.DataFrame(found, columns=columns)
+                    yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
                     at = last
         finally:
             if source is not None:
                 source.close()
 
     spread = places.repartitionByRange(partitions, "archive", "start").sortWithinPartitions("archive", "start")
-    return spread.mapInPandas(read, RECORD)
+    return spread.mapInPandas(read, schema)
 
 
-def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def archive_pages(pages: DataFrame, min_bytes: int = 0, payloads: bool = True) -> DataFrame:
     """Write all pages (page_id, url, html), index them, and read every record back.
 
-    Null html is an empty payload.  Columns of ``RECORD``; the payload of a revisit
-    is null.
+    Null html is an empty payload.  Columns of ``RECORD``, with the payload, null for
+    a revisit, only if ``payloads``.
     """
     folder = fresh_path(pages.sparkSession, "warc")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = with_originals(pages, payload, min_bytes)
     captures = write_archives(rows, f"{folder}/archives")
     index = build_index(captures, f"{folder}/index")
-    return read_records(materialize(locate(index, pages), "places"))
+    return read_records(materialize(locate(index, pages), "places"), payloads)
