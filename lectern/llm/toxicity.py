@@ -100,14 +100,16 @@ def fit_toxicity(
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [words_of(t) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "toxic": batch["toxic"],
-                    "words": [sorted(w) for w in found],
-                    "swapped": [sorted(swap_words(w, s.groups)) for w in found],
-                }
-            )
+            for first in range(0, len(batch), 500):
+                part = batch.iloc[first : first + 500]
+                found = [words_of(t) for t in part["text"]]
+                yield pd.DataFrame(
+                    {
+                        "toxic": part["toxic"].to_list(),
+                        "words": [sorted(w) for w in found],
+                        "swapped": [sorted(swap_words(w, s.groups)) for w in found],
+                    }
+                )
 
     schema = "toxic int, words array<string>, swapped array<string>"
     table = materialize(rows.select("toxic", "text").mapInPandas(features, schema), "toxic-rows")
