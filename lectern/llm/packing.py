@@ -93,11 +93,21 @@ class ChunkEncoder:
         self.parts.update(self._encode_parts(list({x for _, pair in parts for x in pair if x not in self.parts})))
         self.chunks.update((c, self.parts[body] + self.parts[tail]) for c, (body, tail) in parts)
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
+    def _forget(self) -> None:
         if len(self.chunks) > _REMEMBERED or len(self.parts) > _REMEMBERED:
             self.chunks.clear()
             self.parts.clear()
+
+    def counts(self, chunks: list[bytes]) -> list[int]:
+        """Tokens of each chunk."""
+        self._forget()
+        known = self.chunks
+        self._learn({c for c in chunks if c not in known})
+        return [len(known[c]) // 4 for c in chunks]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        self._forget()
+        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
         known = self.chunks
         ids = [list(map(known.get, chunks)) for chunks in split]
         gaps = [(i, j) for i, got in enumerate(ids) if None in got for j, x in enumerate(got) if x is None]

@@ -127,7 +127,7 @@ def _neighbour(char: Column) -> Column:
     return F.when(char.isNull() | (char == ""), 0).when(char.rlike("^\\s"), 1).when(char.rlike("^[\\p{L}0-9]"), 2).otherwise(3)
 
 
-def _proposed(text: Column, kind: str) -> Column:
+def proposed(text: Column, kind: str) -> Column:
     """Array of (start, end, match) of one kind, in code points, checked."""
     pattern = PATTERNS[kind]
     pairs = F.zip_with(
@@ -169,7 +169,7 @@ def candidates(text_col: str = "text") -> Column:
             named = [c.cast("int").alias(n) for c, n in zip(cells, FEATURES, strict=True)]
             return F.struct(start, F.lit(KINDS.index(kind)).alias("kind"), end, *named)
 
-        return F.transform(_proposed(text, kind), describe)
+        return F.transform(proposed(text, kind), describe)
 
     return F.array_sort(F.concat(*map(described, KINDS)))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate, jaccard, language, packing, pii, topk, toxicity, warc
+from lectern.llm import decontaminate, jaccard, language, packing, pii, quality, tokencount, topk, toxicity, warc
 from lectern.plans.storage import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(found, pii.fit_spans(found))
 
 
+@query
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
@@ -68,3 +73,8 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
