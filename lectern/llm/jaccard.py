@@ -153,11 +153,13 @@ def signatures(docs: DataFrame, settings: JoinSettings) -> DataFrame:
                     out.append((doc_id, len(s), name, bitmap(s), tile_keys(s, settings).astype(np.int64)))
                 else:
                     out.append((doc_id, 0, None, None, None))
-            frame = pd.DataFrame(out, columns=["doc_id", "size", "set_id", "bits", "keys"])
-            yield frame.astype({"doc_id": "Int64", "set_id": "Int64"})
+            frame = pd.DataFrame(out, columns=["doc_id", "size", "set_id", "bits", "keys"], dtype=object)
+            yield frame.assign(set_id=frame["set_id"].astype("Int64"), size=frame["size"].astype("int64"))
 
-    schema = "doc_id bigint, size bigint, set_id bigint, bits binary, keys array<bigint>"
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(sign, schema)
+    # Ids pass as text: a column with nulls would become floating-point numbers.
+    schema = "doc_id string, size bigint, set_id bigint, bits binary, keys array<bigint>"
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(sign, schema)
+    return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def shared_tiles(signed: DataFrame) -> DataFrame:

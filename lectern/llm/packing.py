@@ -38,7 +38,8 @@ _TOGETHER = 200
 #: Letters below this code point are lower-cased one by one.
 _PLAIN_END = "\u0130"
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECES = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint"
+PLACED = ("piece", "start", "length", "ids_crc32")
 
 
 def _plain(word: str) -> bool:
@@ -150,10 +151,11 @@ def cut_pieces(
                     for piece, start in enumerate(range(0, len(ids), capacity)):
                         part = ids[start : start + capacity]
                         out.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(cut, PIECES)
+    # Ids pass as text: a column with nulls would become floating-point numbers.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(cut, PIECES)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 @dataclass
@@ -239,7 +241,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         marked.withColumn("within", F.row_number().over(order) - 1)
         .join(shares.select("length", "split", "before"), ["length", "split"])
         .withColumn("rank", F.col("before") + F.col("within"))
-        .select(*pieces.columns, "rank")
+        .select(F.col("doc_id").cast("string"), *PLACED, "rank")
     )
     shared = pieces.sparkSession.sparkContext.broadcast(
         {length: np.array(runs, dtype=np.int64) for length, runs in plan.runs.items()}
@@ -258,8 +260,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[rows] = run[:, 3] + nth % run[:, 2] * length
             yield batch.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInPandas(place, f"{kept}, sequence_id bigint, offset bigint")
+    placed = ranked.mapInPandas(place, f"{PIECES}, sequence_id bigint, offset bigint")
+    return placed.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def pack_documents(

@@ -108,7 +108,7 @@ class CountTree:
         return "".join(out), work
 
 
-TREE = "doc_id bigint, version bigint, n_tokens bigint, starts array<int>, sums array<bigint>"
+TREE = "doc_id string, version bigint, n_tokens bigint, starts array<int>, sums array<bigint>"
 
 
 def build_trees(docs: DataFrame, tokenizer: str, leaf: int = LEAF) -> DataFrame:
@@ -119,10 +119,11 @@ def build_trees(docs: DataFrame, tokenizer: str, leaf: int = LEAF) -> DataFrame:
         for batch in batches:
             trees = [CountTree.build(t or "", encoder, leaf) for t in batch["text"]]
             columns = {"n_tokens": [t.total for t in trees], "starts": [t.starts for t in trees], "sums": [t.sums for t in trees]}
-            yield batch[["doc_id", "version"]].assign(**columns).astype({"doc_id": "Int64"})
+            yield batch[["doc_id", "version"]].assign(**columns)
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
-    return rows.mapInPandas(build, TREE)
+    # Ids pass as text: a column with nulls would become floating-point numbers.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
+    return rows.mapInPandas(build, TREE).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def apply_edits(trees: DataFrame, edited: DataFrame, tokenizer: str) -> DataFrame:
@@ -144,16 +145,18 @@ def apply_edits(trees: DataFrame, edited: DataFrame, tokenizer: str) -> DataFram
                 _, work = tree.edit(text or "", changes, encoder)
                 out.append((doc_id, version, len(changes), tree.total, work))
             names = ["doc_id", "version", "n_edits", "n_tokens_edited", "n_reencoded"]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=names)
 
     rows = edited.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("version"), "text", "edits")
     rows = rows.dropDuplicates(["doc_id", "version"]).alias("e")
     kept = trees.dropDuplicates(["doc_id", "version"]).alias("t")
     same = F.col("e.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("e.version") == F.col("t.version"))
     both = rows.join(kept, same).select("e.*", "t.starts", "t.sums")
-    return both.mapInPandas(
-        update, "doc_id bigint, version bigint, n_edits bigint, n_tokens_edited bigint, n_reencoded bigint"
+    both = both.withColumn("doc_id", F.col("doc_id").cast("string"))
+    changed = both.mapInPandas(
+        update, "doc_id string, version bigint, n_edits bigint, n_tokens_edited bigint, n_reencoded bigint"
     )
+    return changed.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def personal_edits(text_col: str = "text") -> Column:

@@ -43,13 +43,26 @@ JOINED_BYTES = 2 << 20
 _RECORDED = "2024-01-01T00:00:00Z"
 _END = b"\r\n\r\n"
 
-CAPTURE = "key string, page_id bigint, archive string, start bigint, bytes bigint"
+CAPTURE = "key string, page_id string, archive string, start bigint, bytes bigint"
 RECORD = (
-    "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, "
-    "refers_to bigint, payload binary"
+    "page_id string, url string, record_type string, payload_bytes bigint, payload_digest string, "
+    "refers_to string, payload binary"
 )
 
 
+_IDS = ("page_id", "refers_to")
+
+
+# Ids pass to and from Python as text: a column with nulls would become
+# floating-point numbers.
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def _as_numbers(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
 def url_key(url: str | None) -> str:
     """Sort key: host labels reversed, then path and query, lower-case without scheme.
 
@@ -155,16 +168,17 @@ def with_originals(pages: DataFrame, payload: Column, min_bytes: int = 0) -> Dat
 
 
 def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write a record per row; the captures (key, page_id, archive, start, bytes), as a written table."""
+    """Write a record per row, a null payload as empty; the captures (key, page_id, archive, start, bytes), as a written table."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, name, at, seen = None, "", 0, 0
         captures: list[tuple] = []
         try:
             for batch in batches:
-                ids = [None if pd.isna(x) else int(x) for x in batch["page_id"]]
-                refers = [None if pd.isna(x) else int(x) for x in batch["refers_to"]]
-                for page_id, url, payload, original in zip(ids, batch["url"], batch["payload"], refers, strict=True):
+                numbers = [[None if x is None else int(x) for x in batch[c]] for c in ("page_id", "refers_to")]
+                for page_id, url, payload, original in zip(
+                    numbers[0], batch["url"], batch["payload"], numbers[1], strict=True
+                ):
                     if out is None or at >= archive_bytes:
                         if out is not None:
                             out.close()
@@ -172,21 +186,21 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
                         filesystem, path = _filesystem(name)
                         filesystem.create_dir(path.rpartition("/")[0], recursive=True)
                         out = filesystem.open_output_stream(path, compression=None)
-                    payload = bytes(payload)
+                    payload = b"" if payload is None else bytes(payload)
                     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
                     member = encode_record(page_id, url, payload, digest, original)
                     out.write(member)
-                    captures.append((url_key(url), page_id, name, at, len(member)))
+                    captures.append((url_key(url), None if page_id is None else str(page_id), name, at, len(member)))
                     at += len(member)
                 seen += len(batch)
-                frame = pd.DataFrame(captures, columns=["key", "page_id", "archive", "start", "bytes"])
-                yield frame.astype({"page_id": "Int64"})
+                yield pd.DataFrame(captures, columns=["key", "page_id", "archive", "start", "bytes"])
                 captures = []
         finally:
             if out is not None:
                 out.close()
 
-    return materialize(rows.mapInPandas(write, CAPTURE), "captures")
+    captures = _as_text(rows, "page_id", "refers_to").mapInPandas(write, CAPTURE)
+    return materialize(_as_numbers(captures, "page_id"), "captures")
 
 
 @dataclass(frozen=True)
@@ -233,7 +247,7 @@ def build_index(
 
         try:
             for batch in batches:
-                ids = [None if pd.isna(x) else int(x) for x in batch["page_id"]]
+                ids = [None if x is None else int(x) for x in batch["page_id"]]
                 for key, page_id, *place in zip(
                     batch["key"], ids, batch["archive"], batch["start"].tolist(), batch["bytes"].tolist(), strict=True
                 ):
@@ -251,7 +265,7 @@ def build_index(
     order = ["key", F.col("page_id").asc_nulls_first(), "archive", "start"]
     sorted_ = captures.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     schema = "file string, firsts array<string>, starts array<bigint>, lengths array<bigint>"
-    written = materialize(sorted_.mapInPandas(write, schema), "directory")
+    written = materialize(_as_text(sorted_, "page_id").mapInPandas(write, schema), "directory")
     number = F.row_number().over(Window.orderBy(F.element_at("firsts", 1), "file")) - 1
     # One row per shard, not per block: short, and as many as there are shards.
     names = written.select("file", F.element_at("firsts", 1).alias("first"), "firsts").withColumn("shard", number)
@@ -273,7 +287,7 @@ def locate(index: CaptureIndex, queries: DataFrame, group_rows: int = SHARD_ROWS
             out = []
             for url, page_id in zip(batch["url"], batch["page_id"], strict=True):
                 key = url_key(url)
-                if pd.isna(page_id):
+                if page_id is None:
                     low, high = _line(key, None), f"{key}\x01"
                 else:
                     low = high = _line(key, int(page_id))
@@ -282,7 +296,7 @@ def locate(index: CaptureIndex, queries: DataFrame, group_rows: int = SHARD_ROWS
             yield pd.DataFrame(out, columns=["shard", "low", "high"])
 
     asked = queries.select("url", F.col("page_id").cast("bigint").alias("page_id"))
-    asked = asked.mapInPandas(route, "shard int, low string, high string").distinct()
+    asked = _as_text(asked, "page_id").mapInPandas(route, "shard int, low string, high string").distinct()
     asked = materialize(asked, "lookups")
     parts = max(1, -(-asked.count() // (group_rows * max(1, len(shard_keys)))))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("low", "high"), F.lit(parts)).cast("int"))
@@ -352,15 +366,15 @@ def read_records(places: DataFrame, payloads: bool = True, partitions: int | Non
                     for _, start, size in ranges[at:last]:
                         record = decode_record(data[start - first : start - first + size])
                         found.append([record[c] for c in columns])
-                    frame = pd.DataFrame(found, columns=columns)
-                    yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                    frame = pd.DataFrame(found, columns=columns, dtype=object)
+                    yield frame.assign(**{c: [None if x is None else str(x) for x in frame[c]] for c in _IDS})
                     at = last
         finally:
             if source is not None:
                 source.close()
 
     spread = places.repartitionByRange(partitions, "archive", "start").sortWithinPartitions("archive", "start")
-    return spread.mapInPandas(read, schema)
+    return _as_numbers(spread.mapInPandas(read, schema), *_IDS)
 
 
 def archive_pages(pages: DataFrame, min_bytes: int = 0, payloads: bool = True) -> DataFrame:

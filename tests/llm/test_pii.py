@@ -1,0 +1,118 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from lectern.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def digits(match):
+    return re.sub("[^0-9]", "", match)
+
+
+def luhn(number):
+    total = 0
+    for i, c in enumerate(reversed(number)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def passes(kind, match):
+    d = digits(match)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in match.split("."))
+    if kind == "card":
+        return 12 <= len(d) <= 19 and luhn(d)
+    return 9 <= len(d) <= 15 if kind == "phone" else True
+
+
+def brute(text):
+    found = []
+    for order, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text or ""):
+            if passes(kind, m[0]):
+                found.append((m.start(), order, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for _, _, s in sorted(found)]
+
+
+def run(docs):
+    found = docs.select("doc_id", "text", pii.candidates().alias("found"))
+    return pii.personal_data(found, pii.fit_spans(found)).withColumnRenamed("doc_id", "id").collect()
+
+
+TEXTS = [
+    None,
+    "",
+    "mail a.b@c.org, or a@b.co_x@y.zz and a@b.co.x@y.zz; @no.org x@y",
+    "1.2.3.4.5.6.7.8 and 256.1.1.1, 001.002.003.255 1.2.3..4 9.9.9.9.9",
+    "4539 1488 0343 6467 and 4539148803436467x 4539148803436468 12-34-56-78-90-12",
+    "call +1 (555) 123-4567, +123 x +49 30 901820 0 ++1 2 3 4 5 6 7 8 9",
+    "É漢🙂 é@x.org 🙂 10.0.0.1 4539148803436467 +4930901820123",
+    "a@b.cc" * 3,
+    "7" * 30_000 + " 1.1.1.1 " + "a" * 60_000 + "@x.yz" + ".q" * 20_000,
+    "0 " * 20_000 + "me@here.org",
+    'token = "0b96a8c8d79c4a5085c919698889f59b72ab7bb6" by Dr. Maria Santos, ssn 123-45-6789',
+]
+
+
+def test_base_equals_plain_patterns(spark, docs_of, small):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100_000 + r["doc_id"], r["text"]) for r in small.collect()]
+    rows += [(3, TEXTS[3]), (None, TEXTS[2])]
+    text_of = dict(rows)
+    got = run(docs_of(rows))
+    assert len(got) == len(rows)
+    for r in got:
+        want = brute(text_of[r["id"]])
+        counts = [sum(s.startswith(k) for s in want) for k in PLAIN]
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == counts, want
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert set(want) <= set(r["spans"].split(",")) or not want
+
+
+def test_added_spans(spark, docs_of):
+    rows = [(i, f'note {i} token = "0b96a8c8d79c4a5085c919698889f59b72ab7b{i:02d}" end') for i in range(20)]
+    rows += [(100 + i, f"clean text number {i} Of Words And Nothing2else") for i in range(20)]
+    got = {r["id"]: r["spans"] for r in run(docs_of(rows))}
+    assert all(got[i].startswith("secret:") for i in range(20))
+    assert all(got[100 + i] == "" for i in range(20))
+
+
+def test_labelers_get_reliabilities(spark, docs_of):
+    found = docs_of([(i, f"mail me at user{i}@mail.example.com") for i in range(30)])
+    model = pii.fit_spans(found.select(pii.candidates().alias("found")))
+    assert set(model.reliability) == set(pii.VOTES)
+    assert all(0.5 < v < 1 for v in model.reliability.values())
+
+
+def test_redaction(spark, docs_of):
+    docs = docs_of([(1, "mail a@b.org now"), (2, "no data"), (3, None), (4, ""), (None, "🙂 10.0.0.1"), (1, "mail a@b.org now")])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns
+    got = sorted((str(r["doc_id"]), r["text"], r["n_chars"]) for r in out.collect())
+    mail = ("1", "mail <EMAIL> now", 16)
+    assert got == sorted([mail, mail, ("2", "no data", 7), ("3", None, None), ("4", "", 0), ("None", "🙂 <IP>", 6)], key=str)
+
+
+def test_overlapping_spans_are_one_gap(spark):
+    span = "struct<start:int,kind:int,end:int>"
+    df = spark.createDataFrame([("abcdefghij", [(1, 0, 4), (2, 1, 6), (8, 2, 9)])], f"text string, spans array<{span}>")
+    got = df.select(pii.redacted(F.col("text"), F.col("spans"))).first()[0]
+    assert got == "a<EMAIL>gh<CARD>j"
+
+
+def test_no_documents(spark, docs_of):
+    assert run(docs_of([])) == [] and pii.redact(docs_of([])).collect() == []
+
+
+def test_no_python_in_the_plan(small):
+    found = small.select("doc_id", pii.candidates().alias("found"))
+    plan = pii.personal_data(found, pii.fit_spans(found))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
