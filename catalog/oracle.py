@@ -176,6 +176,10 @@ _WITH_PR = """SELECT *,
     CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r FROM"""
 
 _PROBABILITY = _r("1 / (1 + exp(-score))", "probability")
+_SCORED_TWICE = f"""
+        SELECT CASE WHEN copy < 2 THEN id END AS id, {_r('score', 'score')}, {_PROBABILITY},
+               CASE WHEN 1 / (1 + exp(-score)) >= 0.5 THEN CAST(1 AS DOUBLE) ELSE 0 END AS prediction
+        FROM unlabelled_scores, range(3) t(copy)"""
 
 _CORPUS_COLUMNS = "SELECT id, title, text, subject, date, label FROM corpus"
 
@@ -282,6 +286,8 @@ _SELECTS: dict[str, str] = {
         SELECT id, {_r('score', 'score')},
                CASE WHEN score >= 0 THEN CAST(1 AS DOUBLE) ELSE 0 END AS prediction
         FROM unlabelled_scores""",
+    "score_texts_in_place": _SCORED_TWICE,
+    "score_texts_by_join": _SCORED_TWICE,
     "score_by_lookup": f"""
         SELECT id, {_r('score', 'score')}, {_PROBABILITY},
                CASE WHEN 1 / (1 + exp(-score)) >= 0.5 THEN CAST(1 AS DOUBLE) ELSE 0 END AS prediction

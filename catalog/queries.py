@@ -299,6 +299,27 @@ def score_by_lookup(spark, sf):
     return rounded(so.score_by_lookup(docs, demo.scorer(True)), "score", "probability")
 
 
+def _scored_twice(spark, sf, form) -> DataFrame:
+    """Every unlabelled document three times, once with a null id."""
+    demo = tb.demo_model(spark, sf)
+    docs = cl.clean_text(tb.unlabelled(spark, sf))
+    unnamed = docs.withColumn("id", F.lit(None).cast("bigint"))
+    scored = form(docs.unionByName(docs).unionByName(unnamed), demo.scorer(True))
+    return rounded(scored.select("id", "score", "probability", "prediction"), "score", "probability")
+
+
+@query
+def score_texts_in_place(spark, sf):
+    """Repeated and null ids, scored inside the rows."""
+    return _scored_twice(spark, sf, so.score_texts_in_place)
+
+
+@query
+def score_texts_by_join(spark, sf):
+    """Repeated and null ids, scored by the join that large models take."""
+    return _scored_twice(spark, sf, so.score_texts_by_join)
+
+
 @query
 def score_benchmark(spark, sf):
     """Scoring input with ids, cleaned as the training texts were."""

@@ -24,8 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as id, title (first line), text, subject."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    """All documents as id, title (first line), text, subject; the scan alone."""
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.substring_index("text", "\n", 1).alias("title"),
         "text",
@@ -46,7 +46,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     optimizer; when it shuffles, the result lies by id and the de-duplication
     after it moves no text again.
     """
-    return normalize_schema(documents(spark, sf_dir).join(labels(spark, sf_dir), "id"))
+    return normalize_schema(spread(documents(spark, sf_dir)).join(labels(spark, sf_dir), "id"))
 
 
 def class_sources(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
@@ -68,7 +68,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     Hashes are taken before the label join, so that only one of the two reads of
     the documents carries texts through a shuffle.
     """
-    keys = cl.content_keys(cl.clean_text(documents(spark, sf_dir)))
+    keys = cl.content_keys(cl.clean_text(spread(documents(spark, sf_dir))))
     keys = keys.join(labels(spark, sf_dir), "id", "left_semi")
     return cl.clean_and_dedup(corpus(spark, sf_dir), keys=keys)
 

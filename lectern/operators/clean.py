@@ -82,13 +82,33 @@ def clean_and_dedup(
 ) -> DataFrame:
     """``dedup_text(clean_text(df))`` for a unique key, arranged for the optimizer.
 
+    A key that repeats among the rows, as when two sources number theirs alike,
+    fails the job: filtering by it would keep rejected rows.
+
     A surviving key has passed every filter of the cleaner, so the rows are only
     filtered by key and cleaned afterwards.  A query that does not use the texts
     then never reads them here, and no rejected or repeated text is cleaned.
     """
     if keys is None:
-        keys = content_keys(clean_text(df.select(key, "text"), min_text_length), key)
-    return clean_columns(df.join(_surviving(keys, key), key, "left_semi"))
+        keys = _all_keys(df, min_text_length, key)
+    return clean_columns(df.join(_surviving(_unique(keys, key), key), key, "left_semi"))
+
+
+def _all_keys(df: DataFrame, min_text_length: int, key: str) -> DataFrame:
+    """``content_keys`` of all rows; the digest is null where the cleaner drops the row."""
+    once = F.explode(F.array(tx.clean_body(F.col("text")))).alias("text")
+    cleaned = df.select(key, tx.is_present(F.col("text")).alias("_there"), once)
+    kept = F.coalesce(F.col("_there") & (F.length("text") >= min_text_length), F.lit(False))
+    digest = F.when(kept, tx.content_digest(F.col("text"))).alias("digest")
+    return cleaned.select(tx.row_key(key).alias(key), digest)
+
+
+def _unique(keys: DataFrame, key: str) -> DataFrame:
+    """The keys that have a digest; an error where one occurs twice."""
+    twice = F.raise_error(F.lit(f"{key} is not unique: number all sources together, or use no key"))
+    found = keys.groupBy(key).agg(F.max("digest").alias("digest"), F.count(F.lit(1)).alias("n"))
+    checked = F.when(F.col("n") > 1, twice.cast("binary")).otherwise(F.col("digest"))
+    return found.select(key, checked.alias("digest")).filter(F.col("digest").isNotNull())
 
 
 def dedup_text_any(df: DataFrame) -> DataFrame:

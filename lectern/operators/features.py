@@ -236,6 +236,9 @@ def hashed_features(df: DataFrame, spec: FeatureSpec, num_features: int = 1 << 1
 
 def _entries_in_place(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
     """(id, idx, tf), counted inside each document's row: nothing is shuffled."""
+    if not vocabulary.words:
+        none = df.select("id", *keep, F.lit(0).alias("idx"), F.lit(0.0).alias("tf"))
+        return none.filter(F.lit(False))
     counts = replace(spec, use_idf=False)
     counted = PipelineModel(stages=counting_stages(vocabulary.words, counts)).transform(df)
     entries = sc.vector_entries(F.col(counts.output_col))
@@ -245,17 +248,21 @@ def _entries_in_place(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec,
 def _entries_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
     """(id, idx, tf) for a vocabulary too large to hold: counts per document and
     word, then a join with the words.  The rows of a document lie together, so
-    the counts are nearly complete before they are shuffled."""
+    the counts are nearly complete before they are shuffled.  Documents are
+    numbered and written first, so that equal ids stay apart."""
+    columns = dict.fromkeys(["id", *keep, spec.input_col])
+    numbered = df.select(*columns).withColumn("_row", F.monotonically_increasing_id())
+    numbered = materialize(numbered, "numbered")
     pieces = tx.split_words(F.col(spec.input_col), spec.pattern)
     if spec.binary_tf:
         pieces = F.array_distinct(pieces)
     word = F.col("word")
-    rows = df.select("id", *keep, F.explode(pieces).alias("word")).filter(
+    rows = numbered.select("_row", "id", *keep, F.explode(pieces).alias("word")).filter(
         tx.is_token(word, spec.min_token_length) & ~tx.is_stop_word(word, spec.stop_words)
     )
-    counted = rows.groupBy("id", *keep, "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    counted = rows.groupBy("_row", "id", *keep, "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     words = vocabulary.table.select("word", "idx")
-    return lookup_join(counted, words, "word", vocabulary.size).drop("word")
+    return lookup_join(counted, words, "word", vocabulary.size, spread_by=("_row",)).drop("word")
 
 
 def term_entries(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, *keep: str) -> DataFrame:

@@ -186,8 +186,13 @@ def model_params(spark: SparkSession, model: Model, name: str) -> DataFrame:
 
 
 def prediction_sample(predictions: DataFrame, k: int = 200, key: str = "id") -> DataFrame:
-    """The first k predictions by key, as text, label and whole-number prediction."""
-    return top_k(predictions, [key], k).select(
+    """The first k predictions by key, as text, label and whole-number prediction.
+
+    The keys are ranked alone; texts are read and scored for the chosen ones only.
+    """
+    first = top_k(predictions.select(key), [key], k).select(key).distinct()
+    chosen = predictions.join(F.broadcast(first), key, "left_semi")  # k keys
+    return top_k(chosen, [key], k).select(
         key,
         "text",
         F.col("label").cast("int").alias("label"),

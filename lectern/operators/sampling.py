@@ -37,22 +37,8 @@ def sample_rows_by_position(df: DataFrame, fraction: float, seed: int = SEED) ->
 
 
 def random_rows(df: DataFrame, n: int, seed: int = SEED, key: str = "id") -> DataFrame:
-    """The ``n`` rows with the smallest draws.
-
-    A plain top-n would ship n rows from every task to a single one.  So rows are
-    counted first, and only those below a draw that about n rows reach are
-    ranked.  Should fewer than n be below it, the bound is widened until there
-    are enough, so the result is always the exact n.  Runs two counting jobs;
-    pass a written table if the input is costly.
-    """
-    total = df.count()
-    if total <= n:
-        return df
-    fraction = (n + 8.0 * n**0.5 + 64.0) / total
-    while fraction < 1.0 and sample_rows(df, fraction, seed, key).count() < n:
-        fraction *= 2.0
-    few = sample_rows(df, fraction, seed, key)
-    return few.orderBy(_draw(key, seed), key).limit(n)
+    """The ``n`` rows with the smallest draws, in one job; ties by key."""
+    return top_k(df, [_draw(key, seed), key], n).drop("rank")
 
 
 def first_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lectern.functions import scores as sc
 from lectern.functions import text as tx
 from lectern.operators.features import FeatureSpec, token_stages
-from lectern.plans.storage import LookupSize, lookup_join, measure_lookup
+from lectern.plans.storage import LookupSize, lookup_join, materialize, measure_lookup
 
 # Decision threshold of each kind of linear model.
 LOGISTIC_THRESHOLD = 0.5
@@ -64,50 +64,61 @@ def _decided(docs: DataFrame, scorer: LinearScorer, margin: Column, *keep: str)
 def score_texts(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
     """Adds score, probability (logistic models only) and prediction.
 
-    While the model is small every task holds it and the scan is scored in
-    place: no shuffle, whole texts pass through, streams work too.  Beyond the
-    lookup bounds the scores come from a join, keyed by ``id``.
+    Whichever form the size of the model asks for, rows and columns are the same:
+    every row is scored by its own text, whatever its id, and a null text scores
+    the intercept.
     """
-    if not scorer.size.small:
-        return docs.join(score_by_lookup(docs, scorer), "id")
+    return (score_texts_in_place if scorer.size.small else score_texts_by_join)(docs, scorer)
+
+
+def score_texts_in_place(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
+    """Every task holds the model and the scan is scored in place: no shuffle,
+    whole texts pass through, streams work too."""
     rows = scorer.table.orderBy("idx").collect()
     if not rows:
         return _decided(docs, scorer, F.lit(float(scorer.intercept)), *docs.columns)
     per_word = [r["idf"] * r["coefficient"] for r in rows]
-    stages = token_stages(scorer.spec) + [
+    text = F.coalesce(F.col(scorer.spec.input_col), F.lit(""))
+    stages = token_stages(replace(scorer.spec, input_col="_text")) + [
         CountVectorizerModel.from_vocabulary(
             [r["word"] for r in rows], inputCol="filtered_tokens", outputCol="_tf"
         ).setBinary(scorer.spec.binary_tf),
         ElementwiseProduct(scalingVec=Vectors.dense(per_word), inputCol="_tf", outputCol="_parts"),
     ]
-    weighted = PipelineModel(stages=stages).transform(docs)
+    weighted = PipelineModel(stages=stages).transform(docs.withColumn("_text", text))
     margin = F.lit(float(scorer.intercept)) + sc.vector_total(F.col("_parts"))
     return _decided(weighted, scorer, margin, *docs.columns)
 
 
-def score_by_lookup(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
-    """id, score, probability, prediction by a join of tokens with the model.
+def score_texts_by_join(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
+    """Scores from a join of tokens with the model, for a model of any size.
 
-    A token occurrence contributes idf times coefficient, so summing over
-    occurrences needs no count per word; a binary model drops repetitions inside
-    the document first.  A document's rows lie together, so the map-side partial
-    sum leaves one short row per document.  Documents without a known word keep
-    one row and score the intercept.
+    The rows are written with a number of their own, so neither repeated nor null
+    ids matter.  A token occurrence contributes idf times coefficient, so summing
+    over occurrences needs no count per word; a binary model drops repetitions
+    inside the document first.  A document's rows lie together, so the map-side
+    partial sum leaves one short row per document; documents without a known word
+    have none and score the intercept.
     """
     spec = scorer.spec
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     tokens = tx.split_words(F.col(spec.input_col), spec.pattern)
     if spec.binary_tf:
         tokens = F.array_distinct(tokens)
     word = F.col("word")
     usable = tx.is_token(word, spec.min_token_length) & ~tx.is_stop_word(word, spec.stop_words)
-    # The empty word stands for the document itself and matches no entry.
-    rows = docs.select("id", F.explode(F.concat(F.array(F.lit("")), tokens)).alias("word")).filter(
-        (word == "") | usable
-    )
+    rows = numbered.select("_row", F.explode(tokens).alias("word")).filter(usable)
     weights = scorer.table.select("word", (F.col("idf") * F.col("coefficient")).alias("part"))
-    matched = lookup_join(rows, weights, "word", scorer.size, "left")
-    margins = matched.groupBy("id").agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("_margin"))
-    return _decided(margins, scorer, F.lit(float(scorer.intercept)) + F.col("_margin"), "id")
+    matched = lookup_join(rows, weights, "word", scorer.size, spread_by=("_row",))
+    margins = matched.groupBy("_row").agg(F.sum("part").alias("_margin"))
+    margin = F.lit(float(scorer.intercept)) + F.coalesce(F.col("_margin"), F.lit(0.0))
+    return _decided(numbered.join(margins, "_row", "left"), scorer, margin, *docs.columns)
+
+
+def score_by_lookup(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
+    """id, score, probability, prediction by ``score_texts_by_join``."""
+    scored = score_texts_by_join(docs.select("id", scorer.spec.input_col), scorer)
+    return scored.select("id", "score", "probability", "prediction")
 
 
 def check_artifacts(vocabulary: DataFrame, weights: DataFrame) -> DataFrame:

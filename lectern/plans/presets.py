@@ -83,5 +83,3 @@ HASHED_MODELS = {
 }
 HASHED_FEATURES = FeatureSpec(pattern=tx.NON_WORD, binary_tf=False, use_idf=False)
 HASHED_NUM_FEATURES = 65536
-HASHED_DEBUG_ROWS = 2000
-HASHED_MAX_CHARS = 2000

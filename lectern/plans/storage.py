@@ -18,6 +18,9 @@ MAX_LOOKUP_BYTES = 64 << 20
 # frequent key is spread over this many tasks.
 LOOKUP_SALTS = 32
 
+# The folder of a local session that names none.
+_OWN: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: the one the cluster names for checkpoints.
@@ -29,9 +32,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="lectern-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="lectern-"))
+    return _OWN[0]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -7,13 +7,15 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from catalog import oracle as catalog_oracle
+from catalog import queries as catalog_queries
 from catalog import tables as tb
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.is_dir(), reason="test tables are absent")
 
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = catalog_queries.QUERIES, catalog_oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +38,7 @@ def fit_once():
 
 def test_every_statement_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -53,6 +56,12 @@ def test_query_equals_sql(spark, con, name):
     assert got == Counter(tuple(row[i] for i in order) for row in result.fetchall())
 
 
+@pytest.mark.parametrize("name", ["clean_text", "clip_text", "strip_html", "parse_date"])
+def test_cleaning_queries_do_not_shuffle(spark, name):
+    plan = QUERIES[name](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 @pytest.mark.parametrize("name", ["model_comparison", "score_model", "worst_model_errors"])
 def test_trained_queries_return_rows(spark, name):
     assert QUERIES[name](spark, str(FOLDER)).columns

@@ -192,3 +192,11 @@ def test_parse_date(spark):
     days = {r["id"]: str(r["d"]) for r in got}
     assert [days[i] for i in range(5)] == ["2017-12-31"] * 5
     assert days[5] == days[6] == "None"
+
+
+def test_a_repeated_key_fails_rather_than_keeping_rejected_rows(spark):
+    rows = [(1, "a" * 30), (1, "short"), (2, "a" * 30), (2, "b" * 30)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    with pytest.raises(Exception, match="not unique"):
+        cl.clean_and_dedup(df).collect()
+    assert cl.dedup_text(cl.clean_text(df), None).count() == 2

@@ -115,3 +115,25 @@ def test_spread_only_touches_inputs_of_few_tasks(spark):
     assert st.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
     many = spark.range(0, 10, 1, cores + 3)
     assert st.spread(many) is many
+
+
+def test_both_forms_score_rows_and_not_ids(spark, fitted, train, articles):
+    model = LogisticRegression(maxIter=3).fit(train)
+    scorer = scorer_of(fitted, model, True)
+    texts = [r["text"] for r in articles.limit(4).collect()]
+    rows = [(1, texts[0], "x"), (1, texts[1], "y"), (None, texts[2], "x"), (2, None, "z"), (3, texts[3], None)]
+    docs = spark.createDataFrame(rows, "id bigint, text string, source string")
+    for given in (docs, docs.drop("id")):
+        a, b = so.score_texts_in_place(given, scorer), so.score_texts_by_join(given, scorer)
+        assert a.columns == b.columns == [*given.columns, "score", "probability", "prediction"]
+        near = lambda df: sorted((str(r[:-3]), round(r["score"], 9), r["prediction"]) for r in df.collect())
+        assert near(a) == near(b) and len(near(a)) == 5
+
+
+def test_terms_of_rows_with_equal_ids_stay_apart(spark, fitted, articles):
+    text = articles.first()["text"]
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text)], "id bigint, text string")
+    small = fitted.vocabulary
+    large = replace(small, size=LookupSize(10**9, 10**12))
+    got = [sorted(map(str, ft.term_entries(docs, v, fitted.spec).collect())) for v in (small, large)]
+    assert got[0] == got[1] and got[0]
