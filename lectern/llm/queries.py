@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+#: Where Python workers find this library when it is not installed on them.
+_HOME = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _HOME)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
