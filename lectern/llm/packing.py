@@ -46,6 +46,16 @@ def _plain(word: str) -> bool:
     return word.isalpha() and (word.isascii() or max(word) < _PLAIN_END)
 
 
+def _lowered(text: str) -> bytes:
+    """UTF-8, in lower case if that is the same for each character alone."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.encode("utf-8", "surrogatepass")
+    # Special tokens are spelled as they are.
+    return (text if "<|" in text else text.lower()).encode("utf-8")
+
+
 class ChunkEncoder:
     """Token ids of whole texts, remembering the ids of chunks.
 
@@ -108,7 +118,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         self._forget()
-        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
+        split = [_lowered(t).split() if t else [] for t in texts]
         known = self.chunks
         ids = [list(map(known.get, chunks)) for chunks in split]
         gaps = [(i, j) for i, got in enumerate(ids) if None in got for j, x in enumerate(got) if x is None]
