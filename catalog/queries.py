@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import tables as tb
@@ -66,7 +66,8 @@ def csv_sources(spark, sf):
             f"{folder}/{rd.CLASS_FILES[label]}", header=True, quote='"', escape='"',
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
-    return rd.load_corpus(spark, folder)
+    back = rd.load_corpus(spark, folder)
+    return back.withColumn("id", F.col("id").cast("bigint"))
 
 
 @query
@@ -80,7 +81,8 @@ def normalize_schema(spark, sf):
 
 @query
 def drop_invalid(spark, sf):
-    """Documents with or without a label; Spanish texts become blank, German null."""
+    """Documents with or without a label; as invalid rows, real Spanish texts are
+    replaced by blanks and German ones by null."""
     lang = F.col("lang")
     text = F.when(lang == "es", "   ").when(lang != "de", F.col("text"))
     docs = tb.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), text.alias("text"))
@@ -285,6 +287,20 @@ def score_logreg(spark, sf):
     return rounded(scored, "score", "probability").drop("text")
 
 
+@query
+def score_from_json(spark, sf):
+    """The model written as JSON documents, loaded from their folder."""
+    demo = tb.demo_model(spark, sf)
+    folder = fresh_path(spark, "json-model")
+    sinks.export_features_json(demo.fitted, f"{folder}/feature_artifacts")
+    intercept = spark.createDataFrame([(-1, demo.intercept)], "idx int, coefficient double")
+    weights = demo.weights.unionByName(intercept)
+    sinks.export_weights_json(weights, f"{folder}/model_weights", "logreg")
+    docs = cl.clean_text(tb.unlabelled(spark, sf)).select("id", "text")
+    scored = so.score_texts(docs, af.load_scorer_json(spark, folder, "logreg"))
+    return rounded(scored, "score", "probability").drop("text")
+
+
 @query
 def score_linearsvc(spark, sf):
     scored = _scored_unlabelled(spark, sf, False)
@@ -426,9 +442,35 @@ def _run(spark, sf, *names: str) -> runs.Run:
     return runs.train(tb.corpus(spark, sf), preset)
 
 
+def _metrics_hold(tolerance: float = 1e-9) -> Column:
+    """Whether the metrics of a row follow from its four counts."""
+    tp, tn, fp, fn = (F.col(c).cast("double") for c in ("tp", "tn", "fp", "fn"))
+    gaps = [
+        F.col("accuracy") * (tp + tn + fp + fn) - (tp + tn),
+        F.col("precision") * (tp + fp) - tp,
+        F.col("recall") * (tp + fn) - tp,
+        F.col("f1") * (tp + (fp + fn) / 2) - tp,
+    ]
+    return F.greatest(*map(F.abs, gaps)) < tolerance * F.greatest(F.lit(1.0), tp + tn + fp + fn)
+
+
+def _test_counts(metrics: DataFrame) -> DataFrame:
+    """What does not hang on the fit: test rows of each class, and that metrics follow."""
+    return metrics.select(
+        "model", F.col("total").alias("n_test"), (F.col("tp") + F.col("fn")).alias("n_real"),
+        (F.col("tn") + F.col("fp")).alias("n_fake"), _metrics_hold().alias("metrics_hold"),
+    )
+
+
 def _train_metrics(spark, sf, *names: str) -> DataFrame:
+    """Per model its test rows, and whether its scores part the classes it was fitted on."""
     run = _run(spark, sf, *names)
-    return rounded(md.comparison_table(run.trained), *METRICS, "train_seconds")
+    margins = {r["model"]: r["margin"] for r in md.score_margins(run.trained).collect()}
+    learning = [name for name, margin in margins.items() if margin is not None and margin > 0]
+    n_train = run.dataset["train_real"] + run.dataset["train_fake"]
+    return _test_counts(md.comparison_table(run.trained)).select(
+        "*", F.col("model").isin(learning).alias("learns"), F.lit(n_train).cast("bigint").alias("n_train")
+    )
 
 
 @query
@@ -458,18 +500,32 @@ def model_comparison(spark, sf):
 
 @query
 def hashing_model(spark, sf):
+    """Test rows of a model on hashed counts; raw documents, copies included."""
     _, report = runs.train_hashed(tb.corpus(spark, sf), "logreg")
-    names = ("model", "tp", "tn", "fp", "fn", *METRICS)
-    return spark.createDataFrame([tuple(report[n] for n in names)], list(names))
+    names = ("model", "total", "tp", "tn", "fp", "fn", *METRICS)
+    return _test_counts(spark.createDataFrame([tuple(report[n] for n in names)], list(names)))
 
 
 @query
 def score_model(spark, sf):
-    """Unlabelled documents scored by fitted stages and a trained model."""
+    """Unlabelled documents scored by fitted stages with a trained model, and by its
+    tables inside the rows: how many, and how many differ."""
     run = _run(spark, sf, "logreg")
     model = PipelineModel(stages=[*run.features.pipeline.stages, run.trained[0].model])
-    docs = cl.clean_text(tb.unlabelled(spark, sf))
-    return rounded(md.batch_score(model, docs, "id"), "probability")
+    docs = cl.clean_text(tb.unlabelled(spark, sf)).select("id", "text")
+    by_model = md.batch_score(model, docs, "id").withColumnRenamed("probability", "score")
+    by_tables = so.score_texts(docs, _scorer(run, True))
+    return _agreement(by_model, by_tables.drop("score").withColumnRenamed("probability", "score"))
+
+
+def _scorer(run: runs.Run, logistic: bool) -> so.LinearScorer:
+    """The tables of the first model of a run."""
+    trained, vocabulary = run.trained[0], run.features.vocabulary
+    weights = md.linear_weights(trained.model, trained.name, vocabulary).filter("idx >= 0")
+    return so.LinearScorer.build(
+        vocabulary.table, weights, float(trained.model.intercept), run.features.spec, logistic,
+        size=vocabulary.size,
+    )
 
 
 def _agreement(by_model: DataFrame, by_tables: DataFrame) -> DataFrame:
@@ -484,17 +540,12 @@ def _agreement(by_model: DataFrame, by_tables: DataFrame) -> DataFrame:
 
 def _scored_both_ways(spark, sf, name: str, logistic: bool) -> DataFrame:
     run = _run(spark, sf, name)
-    model, vocabulary = run.trained[0].model, run.features.vocabulary
+    model = run.trained[0].model
     docs = cl.clean_text(tb.unlabelled(spark, sf)).select("id", "text")
     by_model = model.transform(run.features.transform(docs)).withColumn(
         "score", vector_to_array("rawPrediction")[1]
     )
-    weights = md.linear_weights(model, name, vocabulary).filter("idx >= 0")
-    scorer = so.LinearScorer.build(
-        vocabulary.table, weights, float(model.intercept), run.features.spec, logistic,
-        size=vocabulary.size,
-    )
-    return _agreement(by_model, so.score_by_lookup(docs, scorer))
+    return _agreement(by_model, so.score_by_lookup(docs, _scorer(run, logistic)))
 
 
 @query
@@ -510,17 +561,73 @@ def linearsvc_agreement(spark, sf):
 
 @query
 def linear_weights(spark, sf):
+    """Sizes of the weight table: one row per word of the vocabulary, one intercept."""
     run = _run(spark, sf, "linearsvc")
-    return md.linear_weights(run.trained[0].model, "linearsvc", run.features.vocabulary)
+    table = md.linear_weights(run.trained[0].model, "linearsvc", run.features.vocabulary)
+    return table.groupBy("model").agg(
+        F.count("word").alias("n_words"), F.count_if(F.col("idx") == -1).alias("n_intercepts"),
+        F.count_if(F.col("coefficient").isNull() | F.isnan("coefficient")).alias("n_missing"),
+    )
+
+
+@query
+def logreg_optimum(spark, sf):
+    """Whether the weights of a trained model minimise its loss on the training rows.
+
+    The derivative of mean loss and penalty by each weight, in units of the
+    feature's deviation as the fit counts them, is computed from the weight table.
+    """
+    spec = md.ModelSpec("logreg", {"maxIter": 100, "regParam": 0.1, "tol": 1e-9})
+    run = runs.train(tb.corpus(spark, sf), ps.Preset(features=tb.CHECK_SPEC, models=(spec,)))
+    vocabulary = run.features.vocabulary
+    weights = md.linear_weights(run.trained[0].model, "logreg", vocabulary)
+    train = run.documents.filter(F.col("split") == "train")
+    n = float(vocabulary.n_docs)
+    # The features of a row, and its error by the tables.
+    scored = so.score_texts(train, _scorer(run, True)).select(
+        "_row", (F.col("probability") - F.col("label")).alias("error")
+    )
+    cells = run.features.transform(train).select(
+        "_row", F.inline(sc.vector_entries(F.col("features")))
+    )
+    value, error = F.col("value"), F.col("error")
+    sums = cells.join(scored, "_row").groupBy("idx").agg(
+        F.sum(value * error).alias("slope"), F.sum(value).alias("one"), F.sum(value * value).alias("two")
+    )
+    deviation = F.sqrt((F.col("two") - F.col("one") * F.col("one") / n) / (n - 1))
+    slopes = weights.join(sums, "idx").select(
+        F.abs(F.col("slope") / n / deviation + 0.1 * deviation * F.col("coefficient")).alias("slope")
+    )
+    intercept = scored.agg(F.abs(F.sum("error") / n).alias("slope"))
+    return slopes.unionByName(intercept).agg(
+        F.count(F.lit(1)).alias("n_weights"), (F.max("slope") < 1e-4).alias("at_optimum")
+    )
 
 
 @query
 def tree_importances(spark, sf):
+    """Size of the importance table, and that it holds shares of 1."""
     run = _run(spark, sf, "randomforest")
-    return md.tree_importances(run.trained[0].model, "randomforest", run.features.vocabulary)
+    table = md.tree_importances(run.trained[0].model, "randomforest", run.features.vocabulary)
+    return table.groupBy("model").agg(
+        F.count("word").alias("n_words"), F.count_if(F.col("importance") < 0).alias("n_negative"),
+        (F.abs(F.sum("importance") - 1.0) < 1e-9).alias("adds_up"),
+    )
 
 
 @query
 def worst_model_errors(spark, sf):
+    """Whether the worst errors of a trained model are all there, are errors, and
+    carry the texts of their documents."""
     run = _run(spark, sf, "logreg")
-    return runs.worst_errors(run, run.trained[0]).drop("features")
+    model = run.trained[0]
+    found = runs.worst_errors(run, model)
+    texts = run.documents.select("id", F.col("text").alias("own"))
+    rows = found.join(texts, "id").groupBy(F.lit("logreg").alias("model")).agg(
+        F.count_if(F.col("error") == "false_positive").alias("n_fp"),
+        F.count_if(F.col("error") == "false_negative").alias("n_fn"),
+        F.count_if((F.col("text") != F.col("own")) | (F.col("label") == F.col("prediction"))).alias("n_wrong"),
+    )
+    cells = run.metrics[0]
+    complete = (F.col("n_fp") == min(5, cells["fp"])) & (F.col("n_fn") == min(5, cells["fn"]))
+    return rows.select("model", complete.alias("complete"), "n_wrong")

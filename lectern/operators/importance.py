@@ -1,7 +1,8 @@
 """Concentration and agreement of feature importances.
 
-Input rows are (model, idx, importance); a model has at most as many rows as
-its vocabulary has words, which bounds every window partition here.
+Input rows are (model, idx, importance).  Totals, sums of squares and the
+largest shares are partial sums and a top-k, so no task holds a whole model;
+only running sums and rank correlations order one.
 """
 
 from __future__ import annotations
@@ -9,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.ranking import top_k
+
 
 def normalize_importances(importances: DataFrame) -> DataFrame:
     """Adds ``p``: the share of the model's total; unchanged if that is not positive."""
-    total = F.sum("importance").over(Window.partitionBy("model"))
-    return importances.withColumn(
-        "p", F.when(total > 0, F.col("importance") / total).otherwise(F.col("importance"))
-    )
+    totals = importances.groupBy("model").agg(F.sum("importance").alias("_total"))
+    total = F.col("_total")
+    share = F.when(total > 0, F.col("importance") / total).otherwise(F.col("importance"))
+    return importances.join(totals, "model").withColumn("p", share).drop("_total")
 
 
 def cumulative_importance(importances: DataFrame) -> DataFrame:
@@ -32,13 +35,11 @@ def cumulative_importance(importances: DataFrame) -> DataFrame:
 def importance_concentration(importances: DataFrame, k: int = 50) -> DataFrame:
     """Per model: sum of squared shares, effective number of features, and the
     share of the k most important ones."""
-    ranked = cumulative_importance(importances)
+    shares = normalize_importances(importances).select("model", "idx", "p")
+    first = top_k(shares, [F.desc("p"), "idx"], k, by=["model"])
     hhi = F.sum(F.col("p") * F.col("p"))
-    return ranked.groupBy("model").agg(
-        hhi.alias("hhi"),
-        F.when(hhi > 0, 1.0 / hhi).alias("n_eff"),
-        F.sum(F.when(F.col("rank") <= k, F.col("p")).otherwise(0.0)).alias("top_share"),
-    )
+    spread = shares.groupBy("model").agg(hhi.alias("hhi"), F.when(hhi > 0, 1.0 / hhi).alias("n_eff"))
+    return spread.join(first.groupBy("model").agg(F.sum("p").alias("top_share")), "model")
 
 
 def importance_spearman(importances: DataFrame, first: str, second: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -52,6 +53,7 @@ class Trained:
     model: Model
     predictions: DataFrame
     train_seconds: float
+    fit_rows: DataFrame | None = None  # scored like the predictions
 
     @property
     def name(self) -> str:
@@ -94,25 +96,36 @@ def fit_models(
     if known, sizes the tasks of the linear models.
     """
     check_specs(specs)
+
+    def scored(model: Model, rows: DataFrame) -> DataFrame:
+        return model.transform(rows).withColumn("score", vector_to_array("rawPrediction")[1])
+
     results = []
     for spec in specs:
         began = time.perf_counter()
         model = spec.estimator().fit(_fewer_tasks(train, spec, n_rows))
         seconds = time.perf_counter() - began
-        scored = model.transform(test).withColumn("score", vector_to_array("rawPrediction")[1])
-        results.append(Trained(spec, model, scored, seconds))
+        results.append(Trained(spec, model, scored(model, test), seconds, scored(model, train)))
     return results
 
 
+def _by_model(parts: dict[str, DataFrame], *columns: str) -> DataFrame:
+    named = [df.select(F.lit(name).alias("model"), *columns) for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def score_margins(trained: Sequence[Trained]) -> DataFrame:
+    """Per model, how far the mean score of class 1 lies above that of class 0 on
+    the rows it was fitted on; null if one class is absent."""
+    rows = _by_model({t.name: t.fit_rows for t in trained}, "label", "score")
+    mean = lambda label: F.avg(F.when(F.col("label") == label, F.col("score")))
+    return rows.groupBy("model").agg((mean(1) - mean(0)).alias("margin"))
+
+
 def comparison_table(trained: Sequence[Trained]) -> DataFrame:
     """One row per model: training time and metrics, one scan of the test rows
     per model and one shuffle for all of them."""
-    parts = [
-        t.predictions.select(F.lit(t.name).alias("model"), "label", "prediction") for t in trained
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
+    union = _by_model({t.name: t.predictions for t in trained}, "label", "prediction")
     seconds = F.create_map(
         *(c for t in trained for c in (F.lit(t.name), F.lit(float(t.train_seconds))))
     )
@@ -181,8 +194,8 @@ def tree_importances(model: Model, name: str, vocabulary: Vocabulary) -> DataFra
 
 def model_params(spark: SparkSession, model: Model, name: str) -> DataFrame:
     """The parameters set on a model, as one row with a map of strings."""
-    values = {p.name: str(v) for p, v in model.extractParamMap().items()}
-    return spark.createDataFrame([(name, values)], "model string, params map<string,string>")
+    known = {p.name: str(model.getOrDefault(p)) for p in model.params if model.isDefined(p)}
+    return spark.createDataFrame([(name, known)], "model string, params map<string,string>")
 
 
 def prediction_sample(predictions: DataFrame, k: int = 200, key: str = "id") -> DataFrame:

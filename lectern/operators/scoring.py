@@ -43,9 +43,13 @@ class LinearScorer:
         size: LookupSize | None = None,
     ) -> LinearScorer:
         """Join two written artefact tables on idx and measure the result, unless
-        the size of the vocabulary is known."""
-        table = vocabulary.select("idx", "word", "idf").join(
-            weights.select("idx", "coefficient"), "idx"
+        the size of the vocabulary is known.  A word without a weight is an error
+        when the model is used."""
+        absent = F.raise_error(F.concat(F.lit("no weight for the word "), F.col("word")))
+        table = (
+            vocabulary.select("idx", "word", "idf")
+            .join(weights.select("idx", "coefficient"), "idx", "left")
+            .withColumn("coefficient", F.coalesce("coefficient", absent.cast("double")))
         )
         if threshold is None:
             threshold = LOGISTIC_THRESHOLD if logistic else MARGIN_THRESHOLD

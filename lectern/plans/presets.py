@@ -12,13 +12,16 @@ from lectern.operators.models import ModelSpec
 @dataclass(frozen=True)
 class Preset:
     """Everything a run needs besides its input; use ``dataclasses.replace`` to
-    override a value."""
+    override a value.
+
+    ``sample_fraction`` and ``sample_rows`` bound the rows that models are fitted
+    on; every test row is evaluated whatever they are.
+    """
 
     features: FeatureSpec
     models: tuple[ModelSpec, ...]
     sample_fraction: float | None = None
     sample_rows: int | None = None
-    max_chars: int | None = None
     clean: bool = True
     min_text_length: int = 30
     seed: int = 42

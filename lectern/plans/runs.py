@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +44,15 @@ class Run:
     features: FittedFeatures
     documents: DataFrame
     trained: list[md.Trained]
-    metrics: list[dict] = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)
     dataset: dict = field(default_factory=dict)
 
+    @cached_property
+    def metrics(self) -> list[dict]:
+        """Metrics of every model on the test rows, scored when first asked for."""
+        with _timed(self.seconds, "evaluate"):
+            return [md.timed_metrics(t) for t in self.trained]
+
 
 @contextmanager
 def _timed(seconds: dict[str, float], stage: str):
@@ -56,23 +62,28 @@ def _timed(seconds: dict[str, float], stage: str):
 
 
 def prepare(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> DataFrame:
-    """Clean, de-duplicate, sample and split a corpus, all lazily.
+    """Clean, de-duplicate and split a corpus, then sample its training rows.
 
-    Without a key column (``key=None``) the content hash of each surviving text
-    becomes its ``id``: after de-duplication it is unique and stable.
+    Without a key column (``key=None``) the content hash of each text becomes its
+    ``id``: stable, and unique after de-duplication.  Copies that are kept share
+    an id, hence a side of the split.  All test rows stay.
     """
     docs = drop_invalid(corpus)
     if preset.clean and key is None:
         docs = cl.dedup_text(cl.clean_text(docs, preset.min_text_length), None)
     elif preset.clean:
         docs = cl.clean_and_dedup(docs, preset.min_text_length, key)
-    docs = docs.withColumn("text", tx.clip(F.col("text"), preset.max_chars))
     docs = docs.withColumn("id", tx.content_hash(F.col("text")) if key is None else F.col(key))
+    docs = sm.assign_split(docs, seed=preset.seed)
+    if preset.sample_fraction is None and preset.sample_rows is None:
+        return docs
+    # The split looks at the same draw, so the sample takes another.
+    fit, draw = docs.filter(F.col("split") == "train"), preset.seed + 1
     if preset.sample_fraction is not None:
-        docs = sm.sample_rows(docs, preset.sample_fraction, preset.seed)
+        fit = sm.sample_rows(fit, preset.sample_fraction, draw)
     if preset.sample_rows is not None:
-        docs = sm.random_rows(docs, preset.sample_rows, preset.seed)
-    return sm.assign_split(docs, seed=preset.seed)
+        fit = sm.random_rows(fit, preset.sample_rows, draw)
+    return fit.unionByName(docs.filter(F.col("split") != "train"))
 
 
 def exploration_frame(spark: SparkSession, folder: str, key: str | None = None) -> DataFrame:
@@ -90,47 +101,58 @@ def train(
     (by split).  Each is read a fixed number of times, and losing executors
     costs the tasks they ran, not the plan before them.
 
-    ``account`` adds the rows before and after cleaning to the run; that reads
-    and cleans the corpus once more.
+    The rows of both splits are counted per label.  ``account`` adds the rows
+    before and after cleaning; that reads and cleans the corpus once more.
+    Documents are numbered when written (``_row``), so that rows of one id stay apart.
     """
     md.check_specs(preset.models)
     seconds: dict[str, float] = {}
     with _timed(seconds, "clean"):
-        docs = materialize(prepare(corpus, preset, key), "documents")
+        docs = prepare(corpus, preset, key)
+        docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
         train_docs = require_both_classes(docs.filter(F.col("split") == "train"))
     with _timed(seconds, "features"):
         fitted = fit_features(train_docs, preset.features)
-        rows = md.as_training_rows(fitted.transform(docs), "id", "split")
+        rows = md.as_training_rows(fitted.transform(docs), "id", "_row", "split")
         rows = materialize(rows, "features", ["split"])
     parts = {s: rows.filter(F.col("split") == s).drop("split") for s in ("train", "test")}
     with _timed(seconds, "train"):
         trained = md.fit_models(
-            parts["train"].drop("id"), parts["test"], preset.models, fitted.vocabulary.n_docs
+            parts["train"].drop("id", "_row"), parts["test"], preset.models, fitted.vocabulary.n_docs
         )
-    run = Run(fitted, docs, trained, seconds=seconds)
+    run = Run(fitted, docs, trained, seconds, split_counts(docs))
     if account:
         report = cl.clean_report(corpus, preset.min_text_length) if preset.clean else None
-        run.dataset = report.first().asDict() if report else {"rows_before": corpus.count()}
-    with _timed(seconds, "evaluate"):
-        run.metrics = [md.timed_metrics(t) for t in trained]
+        run.dataset |= report.first().asDict() if report else {"rows_before": corpus.count()}
     return run
 
 
-def _with_text(run: Run, rows: DataFrame) -> DataFrame:
-    """Attach texts to a few rows (a top-k) by id."""
-    return run.documents.select("id", "title", "text").join(F.broadcast(rows), "id")
+def split_counts(docs: DataFrame) -> dict[str, int]:
+    """Rows of each split and class of written documents, in one narrow job."""
+    names = {"real": 1, "fake": 0}
+    counts = [
+        F.count_if((F.col("split") == split) & (F.col("label") == label)).alias(f"{split}_{name}")
+        for split in ("train", "test")
+        for name, label in names.items()
+    ]
+    return docs.agg(*counts).first().asDict()
+
+
+def _with_text(run: Run, rows: DataFrame, *columns: str) -> DataFrame:
+    """Attach texts to a few rows (a top-k) by their number."""
+    texts = run.documents.select("_row", *columns)
+    return texts.join(F.broadcast(rows), "_row").drop("_row")
 
 
 def worst_errors(run: Run, model: md.Trained, k: int = 5) -> DataFrame:
     """False positives and negatives of a model with title and text; 2k rows."""
-    found = ev.top_errors(model.predictions.select("id", "label", "prediction", "score"), k)
-    return _with_text(run, found)
+    rows = model.predictions.select("id", "_row", "label", "prediction", "score")
+    return _with_text(run, ev.top_errors(rows, k), "title", "text")
 
 
 def sample_predictions(run: Run, model: md.Trained, k: int = 200) -> DataFrame:
-    first = sm.first_rows(model.predictions.select("id", "label", "prediction"), k)
-    texts = run.documents.select("id", "text")
-    return md.prediction_sample(texts.join(F.broadcast(first), "id"), k)
+    first = sm.first_rows(model.predictions.select("id", "_row", "label", "prediction"), k)
+    return md.prediction_sample(_with_text(run, first, "text"), k)
 
 
 def save_run(run: Run, folder: str, run_id: str = "run") -> dict:
@@ -170,17 +192,19 @@ def train_hashed(
     corpus: DataFrame,
     model: str,
     debug_rows: int | None = None,
-    max_chars: int | None = None,
     num_features: int = ps.HASHED_NUM_FEATURES,
     key: str | None = "id",
     seed: int = 42,
 ) -> tuple[PipelineModel, dict]:
-    """One classifier on hashed counts, no idf: (fitted stages, report row)."""
+    """One classifier on hashed counts, no idf: (fitted stages, report row).
+
+    ``debug_rows`` bounds the rows it is fitted on.
+    """
     spec = ps.HASHED_MODELS.get(model) or md.ModelSpec(model)
     md.check_specs([spec])
     shape = ps.Preset(
         features=FeatureSpec(), models=(spec,), clean=False,
-        sample_rows=debug_rows, max_chars=max_chars, seed=seed,
+        sample_rows=debug_rows, seed=seed,
     )
     docs = prepare(corpus, shape, key)
     docs = docs.withColumn("label", F.col("label").cast("double"))
@@ -191,8 +215,8 @@ def train_hashed(
     seconds = time.perf_counter() - began
     predictions = fitted.transform(docs.filter(F.col("split") == "test"))
     metrics = md.timed_metrics(md.Trained(spec, fitted, predictions, seconds))
-    shape = {"debug_rows": debug_rows, "max_chars": max_chars, "num_features": num_features}
-    return fitted, {**metrics, **shape}
+    counts = split_counts(docs)
+    return fitted, {**metrics, **counts, "debug_rows": debug_rows, "num_features": num_features}
 
 
 def save_hashed(fitted: PipelineModel, report: dict, folder: str, run_id: str = "run") -> str:

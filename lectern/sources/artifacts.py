@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators.features import FeatureSpec
 from lectern.operators.scoring import LinearScorer, require_consistent
+from lectern.plans.storage import materialize
 
 
 def _document(spark: SparkSession, path: str) -> DataFrame:
@@ -96,6 +97,40 @@ def load_spec(spark: SparkSession, folder: str) -> FeatureSpec:
     return replace(FeatureSpec(), **{n: meta[n] for n in names})
 
 
+def load_spec_json(spark: SparkSession, path: str) -> FeatureSpec:
+    """Settings from a JSON document.  Without ``binary_tf`` terms are counted;
+    other settings it lacks keep their defaults."""
+    default = FeatureSpec()
+    schema = (
+        "min_df double, vocab_size int, binary_tf boolean, pattern string, "
+        "min_token_length int, text_col string"
+    )
+    head = _document(spark, path).select(F.from_json("value", schema).alias("d")).select("d.*").first()
+    meta = {k: v for k, v in (head.asDict() if head else {}).items() if v is not None}
+    meta["input_col"] = meta.pop("text_col", default.input_col)
+    return replace(default, **({"binary_tf": False} | meta))
+
+
+def load_scorer_json(
+    spark: SparkSession, folder: str, model: str, threshold: float | None = None
+) -> LinearScorer:
+    """A linear model from a folder of JSON documents, after checking that they match.
+
+    ``feature_artifacts`` holds vocabulary, idf values and settings,
+    ``model_weights`` the coefficients.  The tables are written first, as every
+    reading of them would parse the documents again.
+    """
+    features = f"{folder}/feature_artifacts"
+    vocabulary = import_feature_tables(
+        spark, f"{features}/cv_vocabulary.json", f"{features}/idf_values.json"
+    )
+    weights, intercept = import_weights_json(spark, f"{folder}/model_weights/{model}_weights.json")
+    vocabulary, weights = materialize(vocabulary, "vocabulary"), materialize(weights, "weights")
+    require_consistent(vocabulary, weights)
+    spec = load_spec_json(spark, f"{features}/features_meta.json")
+    return LinearScorer.build(vocabulary, weights, intercept, spec, model == "logreg", threshold)
+
+
 def load_scorer(
     spark: SparkSession,
     features_folder: str,

@@ -35,8 +35,12 @@ def open_sources(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
 
 
 def load_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    """Open, label, unite and normalise the class files of a folder."""
-    return union_labelled(open_sources(spark, folder))
+    """Open, label, unite and normalise the class files of a folder.
+
+    Each file is read by one task, as quoted line breaks allow no split, and its
+    rows are then spread over tasks by their size.
+    """
+    return union_labelled(open_sources(spark, folder)).hint("rebalance")
 
 
 def load_texts_and_labels(
@@ -51,7 +55,7 @@ def scoring_input(df: DataFrame, text_col: str = "text", id_col: str | None = "i
     """Texts to be scored: trimmed, blank ones skipped, the id kept if there is one."""
     names = [text_col] + ([id_col] if id_col else [])
     require_columns(df, *names)
-    ids = [F.col(f"`{id_col}`").cast("bigint").alias("id")] if id_col else []
+    ids = [F.col(f"`{id_col}`").alias("id")] if id_col else []
     text = tx.strip_ends(F.col(f"`{text_col}`")).alias("text")
     return df.select(*ids, text).filter(F.col("text") != "")
 

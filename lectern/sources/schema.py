@@ -34,10 +34,14 @@ COLUMN_ALIASES: dict[str, tuple[str, ...]] = {
 
 def resolve_column(columns: Iterable[str], accepted: Sequence[str]) -> str | None:
     """The column that carries a field, by accepted name in order, any case."""
-    # A later spelling of the same lower-case name wins, as names are looked up
-    # without regard to case.
-    spelled = {name.lower(): name for name in columns}
-    return next((spelled[a] for a in accepted if a in spelled), None)
+    columns = list(columns)
+    for wanted in accepted:
+        fitting = [name for name in columns if name.lower() == wanted]
+        if len(fitting) > 1:
+            raise ValueError(f"columns {fitting} differ in case only")
+        if fitting:
+            return fitting[0]
+    return None
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -56,8 +60,9 @@ def normalize_schema(df: DataFrame) -> DataFrame:
     """Project a labelled source onto the corpus schema.
 
     A missing title falls back to the text, other missing fields become typed
-    nulls.  Only the id is left out where the source has none, so that a use of
-    it fails at once.  A source without any text column is an error.
+    nulls.  The id keeps the type it has in the source, and is left out where the
+    source has none, so that a use of it fails at once.  A source without any text
+    column, or with two columns that fit one name, is an error.
     """
     found = {field: resolve_column(df.columns, names) for field, names in COLUMN_ALIASES.items()}
     if found["text"] is None:
@@ -69,7 +74,7 @@ def normalize_schema(df: DataFrame) -> DataFrame:
     def pick(field: T.StructField) -> Column:
         name = found[field.name]
         source = F.lit(None) if name is None else F.col(f"`{name}`")
-        return source.cast(field.dataType).alias(field.name)
+        return (source if field.name == "id" else source.cast(field.dataType)).alias(field.name)
 
     wanted = [f for f in CORPUS_SCHEMA if f.name != "id" or found["id"]]
     return df.select(*(pick(field) for field in wanted))

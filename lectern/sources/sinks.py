@@ -110,6 +110,31 @@ def _write_json_array(vocabulary: Vocabulary, column: str, path: str) -> str:
     return path
 
 
+def export_features_json(fitted: FittedFeatures, folder: str) -> str:
+    """Vocabulary, idf values and settings as JSON documents."""
+    export_vocabulary_json(fitted.vocabulary, folder)
+    meta = fitted.meta() | {"input_col": "filtered_tokens", "text_col": fitted.spec.input_col}
+    write_run_report(fitted.vocabulary.table.sparkSession, meta, f"{folder}/features_meta.json")
+    return folder
+
+
+def export_weights_json(weights: DataFrame, folder: str, model: str) -> str:
+    """(idx, coefficient), with the intercept at idx -1, as one JSON document.
+
+    The coefficients are one array, as long as the vocabulary of the model.
+    """
+    path = f"{folder}/{model}_weights.json"
+    inner = F.when(F.col("idx") >= 0, F.struct("idx", "coefficient"))
+    entries = F.array_sort(F.collect_list(inner))
+    document = F.struct(
+        F.lit(model).alias("model"),
+        F.transform(entries, lambda e: e["coefficient"]).alias("coefficients"),
+        F.max(F.when(F.col("idx") == -1, F.col("coefficient"))).alias("intercept"),
+    )
+    weights.agg(F.to_json(document).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 def export_vocabulary_json(vocabulary: Vocabulary, folder: str) -> tuple[str, str]:
     """Words and idf values as two JSON arrays in index order."""
     return (

@@ -73,6 +73,34 @@ def test_scoring_from_json_documents(spark, tmp_path):
         so.require_consistent(af.import_feature_tables(spark, words, short), weights)
 
 
+def test_scorer_from_a_json_folder(spark, tmp_path):
+    features, models = tmp_path / "feature_artifacts", tmp_path / "model_weights"
+    features.mkdir(), models.mkdir()
+    write(features, "cv_vocabulary.json", {"budget": 0, "aliens": 1})
+    write(features, "idf_values.json", [1.0, 2.0])
+    write(features, "features_meta.json", {"num_features": 2, "min_df": 3.0, "input_col": "filtered_tokens"})
+    for name in ("logreg", "linearsvc"):
+        document = {"model": name, "coefficients": [0.5, -1.0], "intercept": 0.1}
+        write(models, f"{name}_weights.json", document)
+    docs = rd.literal_text(spark, "Budget budget talks", "aliens!")
+    scorer = af.load_scorer_json(spark, str(tmp_path), "logreg")
+    assert scorer.spec.binary_tf is False and scorer.spec.min_df == 3.0 and scorer.logistic
+    got = {r["id"]: (round(r["score"], 9), r["prediction"]) for r in so.score_texts(docs, scorer).collect()}
+    assert got == {0: (1.1, 1.0), 1: (-1.9, 0.0)}
+    assert not af.load_scorer_json(spark, str(tmp_path), "linearsvc").logistic
+    write(features, "idf_values.json", [1.0])
+    with pytest.raises(ValueError, match="do not match"):
+        af.load_scorer_json(spark, str(tmp_path), "logreg")
+
+
+def test_a_word_without_weight_is_an_error(spark):
+    words = spark.createDataFrame([(0, "a", 1.0), (1, "b", 1.0)], "idx int, word string, idf double")
+    weights = spark.createDataFrame([(0, 0.5)], "idx int, coefficient double")
+    with pytest.raises(Exception, match="no weight for the word b"):
+        scorer = so.LinearScorer.build(words, weights, 0.0, ft.FeatureSpec(), logistic=True)
+        so.score_texts(rd.literal_text(spark, "a b"), scorer).collect()
+
+
 def test_exported_arrays_read_back(spark, articles, tmp_path):
     vocabulary = ft.fit_vocabulary(articles, ft.FeatureSpec(vocab_size=25, min_df=2))
     words, idf = sinks.export_vocabulary_json(vocabulary, str(tmp_path / "out"))

@@ -127,17 +127,33 @@ def test_worst_errors_carry_texts(run):
 
 
 def test_corpus_without_ids_is_keyed_by_content(articles):
-    preset = replace(SMALL, models=SMALL.models[:1], sample_rows=90)
+    preset = replace(SMALL, models=SMALL.models[:1], sample_rows=60)
     run = runs.train(articles.drop("id"), preset, key=None)
     assert dict(run.documents.dtypes)["id"] == "string"
-    assert run.documents.count() == 90 == run.documents.select("id").distinct().count()
-
-
-def test_sample_fraction_and_clip(articles):
-    docs = runs.prepare(articles, replace(SMALL, sample_fraction=0.5, max_chars=40))
-    n = docs.count()
-    assert 30 < n < 90
-    assert docs.agg(F.max(F.length("text"))).first()[0] == 40
+    assert run.documents.filter("split = 'train'").count() == 60
+    assert run.documents.count() == run.documents.select("id").distinct().count()
+    counts = run.dataset
+    assert counts["train_real"] + counts["train_fake"] == 60
+    assert counts["test_real"] + counts["test_fake"] == run.documents.count() - 60
+
+
+def test_samples_bound_the_fit_rows_alone(articles):
+    whole = runs.prepare(articles, SMALL)
+    for bound in ({"sample_fraction": 0.5}, {"sample_rows": 40}):
+        docs = runs.prepare(articles, replace(SMALL, **bound))
+        sides = {split: docs.filter(F.col("split") == split).count() for split in ("train", "test")}
+        assert sides["test"] == whole.filter("split = 'test'").count()
+        assert 25 < sides["train"] < 75 and sides["train"] == bound.get("sample_rows", sides["train"])
+
+
+def test_copies_without_ids_stay_apart(articles):
+    copies = articles.drop("id").unionByName(articles.drop("id"))
+    preset = replace(SMALL, models=SMALL.models[:1], clean=False)
+    run = runs.train(copies, preset, key=None)
+    model, m = run.trained[0], run.metrics[0]
+    assert m["total"] == run.documents.filter("split = 'test'").count()
+    assert runs.worst_errors(run, model, 3).count() == min(3, m["fp"]) + min(3, m["fn"])
+    assert runs.sample_predictions(run, model, 10).count() == 10
 
 
 def test_hashed_run(articles, tmp_path):

@@ -56,7 +56,9 @@ def test_alias_priority_ignores_case(spark):
     assert row["text"] == "c"  # content comes before body
     assert row["title"] == "h" and row["subject"] == "t"
     assert row["date"] is None and "id" not in row.asDict()
-    assert sh.normalize_schema(df.withColumn("ID", F.lit("7"))).first()["id"] == 7
+    assert sh.normalize_schema(df.withColumn("ID", F.lit("a-7"))).first()["id"] == "a-7"
+    with pytest.raises(ValueError, match="case only"):
+        sh.resolve_column(["Text", "TEXT"], ("text",))
 
 
 def test_title_falls_back_to_text_and_text_is_required(spark):
@@ -77,7 +79,7 @@ def test_scoring_input(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('id,text\n1,"  hello\n"\n2,   \n3,\n4,"a, ""b"""\n')
     rows = rd.read_scoring_csv(spark, str(path), "text", "id").collect()
-    assert [(r["id"], r["text"]) for r in rows] == [(1, "hello"), (4, 'a, "b"')]
+    assert [(r["id"], r["text"]) for r in rows] == [("1", "hello"), ("4", 'a, "b"')]
     assert rd.read_scoring_csv(spark, str(path)).columns == ["text"]
     with pytest.raises(ValueError, match="missing columns"):
         rd.read_scoring_csv(spark, str(path), "body")
