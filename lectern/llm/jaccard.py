@@ -33,6 +33,10 @@ from lectern.plans.storage import materialize
 BLOCK_SETS = 2048
 #: Ids that may be broadcast, 8 bytes each, to pick the texts of candidates.
 BROADCAST_IDS = 1_000_000
+#: An end of more pairs than both this number and this share of all is split, so
+#: at most 2 / HOT_SHARE ends are.
+HOT_PAIRS = 1000
+HOT_SHARE = 1e-4
 _REMEMBERED = 400_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -193,11 +197,40 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def joined_ends(pairs: DataFrame, rows: DataFrame, on: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with the columns of ``rows(set_id, ...)`` of both ends, as ``*_a`` and ``*_b``.
+
+    ``on`` holds set_id and splits of the ends of very many pairs, from
+    ``hot_ends``: their pairs are dealt over so many groups, each with a copy of
+    the row.
+    """
+    for end in ("a", "b"):
+        side = rows.join(F.broadcast(on), "set_id", "left")
+        side = side.withColumn("split", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)))
+        side = side.select("split", *(F.col(c).alias(end if c == "set_id" else f"{c}_{end}") for c in rows.columns))
+        named = F.broadcast(on.select(F.col("set_id").alias(end), "splits"))
+        split = F.pmod(F.xxhash64("a", "b"), F.coalesce("splits", F.lit(1))).cast("int")
+        dealt = pairs.join(named, end, "left").withColumn("split", split).drop("splits")
+        pairs = dealt.join(side, [end, "split"]).drop("split")
+    return pairs
+
+
+def hot_ends(pairs: DataFrame) -> DataFrame:
+    """set_id, splits of the ends that hold very many of ``pairs(a, b)``, a written table.
+
+    Their number is bounded by ``HOT_SHARE``, whatever the number of pairs.
+    """
+    least = max(HOT_PAIRS, int(HOT_SHARE * pairs.count()))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count("*").alias("n"))
+    hot = ends.filter(F.col("n") > least)
+    return materialize(hot.select("set_id", F.ceil(F.col("n") / least).cast("int").alias("splits")), "hot-ends")
+
+
 def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, settings: JoinSettings) -> DataFrame:
     """The pairs (a, b) of set ids that link."""
+    pairs = materialize(pairs, "pairs")
     sets = signed.select("set_id", "size", "bits").dropDuplicates(["set_id"])
-    side = lambda x: sets.select(*(F.col(c).alias(f"{c}_{x}") for c in sets.columns))
-    both = pairs.join(side("a"), F.col("a") == F.col("set_id_a")).join(side("b"), F.col("b") == F.col("set_id_b"))
+    both = joined_ends(pairs, sets, hot_ends(pairs))
 
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -230,16 +263,14 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, settings: Joi
     def overlapping(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
+            for x, y in zip(batch["shingles_a"], batch["shingles_b"], strict=True):
                 x, y = np.asarray(x).view(np.uint64), np.asarray(y).view(np.uint64)
                 x, y = (x, y) if len(x) <= len(y) else (y, x)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 keep.append(bool(settings.linked(int((y[at] == x).sum()), len(x) + len(y))))
             yield batch[["a", "b"]][keep]
 
-    left = arrays.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-    right = arrays.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    exact = possible.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    exact = joined_ends(possible, arrays, hot_ends(possible)).select("a", "b", "shingles_a", "shingles_b")
     return materialize(exact.mapInPandas(overlapping, "a bigint, b bigint"), "links")
 
 
@@ -258,9 +289,8 @@ def components(links: DataFrame) -> DataFrame:
         move = ends.groupBy("node").agg(F.min("other").alias("other"))
         move = materialize(move.select("node", F.least("node", "other").alias("to")), "moves")
         moves.append(move)
-        a = move.select(F.col("node").alias("a"), F.col("to").alias("to_a"))
-        b = move.select(F.col("node").alias("b"), F.col("to").alias("to_b"))
-        moved = links.join(a, "a").join(b, "b").filter(F.col("to_a") != F.col("to_b"))
+        ends = joined_ends(links, move.withColumnRenamed("node", "set_id"), hot_ends(links))
+        moved = ends.filter(F.col("to_a") != F.col("to_b"))
         links = materialize(moved.select(*_ordered("to_a", "to_b")).distinct(), "links")
     if not moves:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -104,6 +104,19 @@ def test_components_of_paths_and_stars(spark):
     assert all(got[n] == low for n in nodes[:40]) and all(got[100 + i] == 100 for i in range(30))
 
 
+def test_hot_ends_are_split(spark, monkeypatch):
+    monkeypatch.setattr(jc, "HOT_PAIRS", 10)
+    rows = [(0, i) for i in range(1, 96)] + [(i, 200) for i in range(1, 41)] + [(300, 301)]
+    pairs = spark.createDataFrame(rows, "a long, b long")
+    hot = jc.hot_ends(pairs)
+    assert sorted(map(tuple, hot.collect())) == [(0, 10), (200, 4)]
+    sets = spark.createDataFrame([(i, f"s{i}") for i in range(400)], "set_id long, name string")
+    got = jc.joined_ends(pairs, sets, hot).select("a", "b", "name_a", "name_b")
+    assert sorted(map(tuple, got.collect())) == sorted((a, b, f"s{a}", f"s{b}") for a, b in rows)
+    found = {r["node"]: r["component"] for r in jc.components(pairs).collect()}
+    assert found == {x: 300 if x >= 300 else 0 for pair in rows for x in pair}
+
+
 def test_edge_rows(spark, docs_of):
     long = " ".join(f"x{i}" for i in range(30_000))
     rows = [(5, None), (6, ""), (7, " \n"), (BIG + 1, "One two"), (BIG, "one TWO"), (3, long), (4, long + " y"), (4, long + " y"), (None, long)]
