@@ -12,6 +12,9 @@ from lectern.llm import decontaminate, jaccard, language, packing, pii
 from lectern.llm.queries import table, tokenizer_path
 from lectern.plans.storage import materialize
 
+#: Near copies of this stage; op4 has settings of its own.
+NEAR = jaccard.JoinSettings(words=5, least=80, of=100)
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in no language: without text or without letters."""
@@ -19,8 +22,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of every group of linked texts."""
-    return jaccard.keep_first(docs)
+    """Keeps the document of smallest id of every group of linked texts.
+
+    Texts link at a Jaccard similarity of 0.8 or more of their 5-word shingles.
+    """
+    return jaccard.keep_first(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

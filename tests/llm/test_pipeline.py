@@ -1,5 +1,7 @@
 import importlib.util
 import os
+import random
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -46,6 +48,56 @@ def test_stages_keep_the_columns(spark, docs_of, tmp_path):
     assert sorted(r["doc_id"] for r in packed) == [1, 1, 4] and {r["sequence_id"] for r in packed} == {0}
 
 
+def similarity(x, y, k=5):
+    """Jaccard similarity of the k-word shingles of two texts, as (overlap, union)."""
+    a, b = (words_in_runs(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), k) for t in (x, y))
+    return len(a & b), len(a | b)
+
+
+def words_in_runs(words, k):
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def first_of_groups(rows):
+    """The rows (id, text) without a linked row of smaller id, by comparing all pairs."""
+    label = [i for i, _ in rows]
+    links = []
+    for x in range(len(rows)):
+        for y in range(x):
+            overlap, union = similarity(rows[x][1], rows[y][1])
+            if union and 100 * overlap >= 80 * union:
+                links.append((x, y))
+    while any(label[x] != label[y] for x, y in links):
+        for x, y in links:
+            label[x] = label[y] = min(label[x], label[y])
+    return [row for row, low in zip(rows, label, strict=True) if low == row[0]]
+
+
+def near_copies(seed):
+    """Texts of which some have 5-word similarities of 0.80 to 0.85 and less than 0.85 in 4 words."""
+    rng, rows = random.Random(seed), []
+    for n in range(12):
+        base = [f"t{n}w{i}" for i in range(rng.choice([60, 100, 140]))]
+        rows.append((10 * n, " ".join(base)))
+        for i in range(1, 5):
+            tail = [f"t{n}x{i}y{j}" for j in range(rng.randint(len(base) // 9, len(base) // 4))]
+            rows.append((10 * n + i, " ".join(base + tail)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_near_copies_below_the_settings_of_op4(spark, docs_of):
+    rows = near_copies(4)
+    by = dict(rows)
+    between = [
+        i for i in by if i % 10 and 0.80 <= (j := similarity(by[i], by[i // 10 * 10]))[0] / j[1] < 0.85
+        and (f := similarity(by[i], by[i // 10 * 10], 4))[0] / f[1] < 0.85
+    ]
+    assert len(between) >= 5
+    got = corpus_pipeline.near_duplicates(spark, docs_of(rows), "")
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted(first_of_groups(rows))
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF)
     assert 0 < got.select("doc_id").distinct().count() <= 200
