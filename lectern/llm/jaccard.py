@@ -24,7 +24,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.plans.storage import materialize
@@ -144,25 +144,27 @@ def tile_keys(shingles: np.ndarray, settings: JoinSettings) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, settings: JoinSettings) -> DataFrame:
-    """doc_id, size, set_id, bits, keys of every document; set_id is null without words."""
+    """doc_id, text_name, size, set_id, bits, keys of every document; set_id is null without words."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(settings.words)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, text_name, text in zip(batch["doc_id"], batch["text_name"], batch["text"], strict=True):
                 s = shingler.shingles(text)
                 if len(s):
                     name = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                    out.append((doc_id, len(s), name, bitmap(s), tile_keys(s, settings).astype(np.int64)))
+                    out.append((doc_id, text_name, len(s), name, bitmap(s), tile_keys(s, settings).astype(np.int64)))
                 else:
-                    out.append((doc_id, 0, None, None, None))
-            frame = pd.DataFrame(out, columns=["doc_id", "size", "set_id", "bits", "keys"], dtype=object)
-            yield frame.assign(set_id=frame["set_id"].astype("Int64"), size=frame["size"].astype("int64"))
+                    out.append((doc_id, text_name, 0, None, None, None))
+            frame = pd.DataFrame(out, columns=["doc_id", "text_name", "size", "set_id", "bits", "keys"], dtype=object)
+            whole = {"text_name": "int64", "size": "int64", "set_id": "Int64"}
+            yield frame.astype(whole)
 
     # Ids pass as text: a column with nulls would become floating-point numbers.
-    schema = "doc_id string, size bigint, set_id bigint, bits binary, keys array<bigint>"
-    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(sign, schema)
+    schema = "doc_id string, text_name bigint, size bigint, set_id bigint, bits binary, keys array<bigint>"
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), _text_name("text").alias("text_name"), "text")
+    found = named.mapInPandas(sign, schema)
     return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
@@ -255,7 +257,8 @@ def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, settings: Joi
         for batch in batches:
             found = [s for s in map(shingler.shingles, batch["text"]) if len(s)]
             names = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in found]
-            yield pd.DataFrame({"set_id": names, "shingles": [s.view(np.int64) for s in found]})
+            arrays = pd.Series([s.view(np.int64) for s in found], dtype=object)  # none of blank texts
+            yield pd.DataFrame({"set_id": pd.Series(names, dtype="int64"), "shingles": arrays})
 
     arrays = texts.mapInPandas(sets_of, "set_id bigint, shingles array<bigint>")
     arrays = materialize(arrays.join(named, "set_id", "left_semi").dropDuplicates(["set_id"]), "arrays")
@@ -368,6 +371,11 @@ def _possible(cell: pd.DataFrame, settings: JoinSettings) -> pd.DataFrame:
     return pd.DataFrame({"a": np.concatenate(found_a or none), "b": np.concatenate(found_b or none)}).drop_duplicates()
 
 
+def _text_name(text: Column | str) -> Column:
+    """Tells the texts of a repeated id apart; never null."""
+    return F.xxhash64(text)
+
+
 def near_duplicates(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs(doc_id, text)``.
 
@@ -377,6 +385,11 @@ def near_duplicates(docs: DataFrame, settings: JoinSettings = JoinSettings()) ->
     repeat an id are placed by their own text.  Sets are told apart by a 64-bit
     hash of their shingles.
     """
+    return placed(docs, settings).drop("text_name")
+
+
+def placed(docs: DataFrame, settings: JoinSettings) -> DataFrame:
+    """As ``near_duplicates``, with text_name."""
     signed = materialize(signatures(docs, settings), "signatures")
     usable = signed.filter(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
     tiles = materialize(with_leaders(materialize(shared_tiles(usable), "tiles")), "led-tiles")
@@ -394,16 +407,20 @@ def near_duplicates(docs: DataFrame, settings: JoinSettings = JoinSettings()) ->
     linked = linked.join(heads, "component").select("set_id", "head")
     named = classes.join(linked, "set_id", "left")
     named = named.select("set_id", F.coalesce("head", "smallest").alias("head"))
-    rows = signed.select("doc_id", "size", "set_id").join(named, "set_id", "left")
+    rows = signed.select("doc_id", "text_name", "size", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("head", "doc_id"))
-    return rows.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+    return rows.select("doc_id", "text_name", F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_first(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> DataFrame:
     """The documents, all columns, but for those linked with a document of smaller id.
 
-    Rows that repeat an id that stays all stay, as do rows with a null id.
+    Rows are dropped by id and text, so of an id that repeats with different texts
+    only the linked ones go.  Linked rows that share the smallest id all stay, as do
+    rows with a null id.
     """
-    found = near_duplicates(docs, settings)
-    later = found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    found = placed(docs, settings)
+    later = found.filter(F.col("component_id") < F.col("doc_id"))
+    later = later.select(F.col("doc_id").alias("later_id"), F.col("text_name").alias("later_name")).distinct()
+    gone = (docs["doc_id"] == later["later_id"]) & (_text_name(docs["text"]) == later["later_name"])
+    return docs.join(later, gone, "left_anti").select(*docs.columns)

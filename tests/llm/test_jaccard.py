@@ -128,5 +128,14 @@ def test_edge_rows(spark, docs_of):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["5", "6", "7", str(BIG), "3", "None"])
 
 
+def test_repeated_id_with_different_texts(spark, docs_of):
+    """Only the row that a kept document stands for is dropped, whatever its id's other texts."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, a), (5, a), (5, b), (5, None), (5, ""), (None, a), (None, None), (7, b + " tail"), (3, a)]
+    want = [(3, a), (5, b), (5, None), (5, ""), (None, a), (None, None), (3, a)]
+    got = jc.keep_first(docs_of(rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_no_documents(spark, docs_of):
     assert jc.near_duplicates(docs_of([])).collect() == [] and jc.keep_first(docs_of([])).collect() == []
