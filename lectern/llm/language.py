@@ -52,6 +52,10 @@ def _codes(text: str) -> np.ndarray:
     return codes[middle > 0]
 
 
+def _lettered(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 @dataclass(frozen=True)
 class Letters:
     """Random letter vectors, permuted for the three places of a trigram."""
@@ -102,7 +106,7 @@ class Profiles:
             part = [t or "" for t in texts[start : start + _SLICE]]
             vectors = self.letters.bundle(part)
             norms = np.linalg.norm(vectors, axis=1)
-            lettered = [any(map(str.isalpha, t)) if n == 0 else True for t, n in zip(part, norms, strict=True)]
+            lettered = [_lettered(t) if n == 0 else True for t, n in zip(part, norms, strict=True)]
             if not self.languages:
                 out += [(UNKNOWN, 0.0)] * len(part)
                 continue
@@ -210,11 +214,26 @@ def predictions(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """The documents, all columns, whose language is known with ``min_score`` at least.
 
-    What is rejected are texts without letters; ``lang`` keeps its value.
+    As scores are never negative, at 0 only null texts and texts without letters
+    are rejected, whatever the profiles; where there is no language to learn,
+    these are rejected at any ``min_score``.  ``lang`` keeps its value.
     """
     profiles = fit_profiles(docs.filter(~held_out()))
+    if not profiles.languages:
+        return docs.filter(_has_letters(F.col("text")))
     mark = "__language"
     while mark in docs.columns:
         mark += "_"
-    known = (F.col(f"{mark}.lang") != UNKNOWN) & (F.col(f"{mark}.score") >= min_score)
+    known = F.col(f"{mark}.lang") != UNKNOWN
+    if UNKNOWN in profiles.languages:  # documents may name it, too
+        known = _has_letters(F.col("text"))
+    known &= F.col(f"{mark}.score") >= min_score
     return docs.withColumn(mark, identify(docs, profiles)).filter(known).drop(mark)
+
+
+def _has_letters(text: Column) -> Column:
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(_lettered).astype(bool)
+
+    return F.pandas_udf(look, "boolean")(text)

@@ -65,3 +65,12 @@ def test_stage_drops_only_unknown(spark, docs_of):
     kept = lg.keep_identified(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "3", "None"]
+
+
+def test_stage_without_a_language_to_learn(spark, docs_of):
+    docs = docs_of([(1, None), (2, "12 ..."), (3, "some words"), (None, "\u6f22"), (4, "")], None)
+    for least in (0.0, 0.5):
+        kept = lg.keep_identified(docs, least)
+        assert kept.columns == docs.columns
+        assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "None"]
+    assert lg.keep_identified(docs_of([], None)).collect() == []
