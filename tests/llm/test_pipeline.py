@@ -4,14 +4,18 @@ import random
 import re
 import subprocess
 import sys
+import zlib
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lectern.llm.oracle import ORACLE
-from lectern.llm.queries import QUERIES
+from lectern.llm.queries import QUERIES, tokenizer_path
 
 ROOT = Path(__file__).resolve().parents[2]
 SF = "/root/testdata/sf0.001"
@@ -103,6 +107,79 @@ def test_run(spark):
     assert 0 < got.select("doc_id").distinct().count() <= 200
 
 
+def leaks(text, items):
+    """Whether a text holds a run of 10 words of an item, or all words of a shorter one."""
+    split = lambda t: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    words = split(text)
+    runs = {tuple(words[i : i + n]) for n in range(1, 11) for i in range(len(words) - n + 1)}
+    return any(words_in_runs(split(t), 10) & runs for t in items)
+
+
+def stages_by_hand(rows, items):
+    """(id, text) left by the first three stages."""
+    lettered = [(i, t) for i, t in rows if t and any(map(str.isalpha, t))]
+    return [(i, t) for i, t in first_of_groups(lettered) if not leaks(t, items)]
+
+
+def pieces_of(rows, capacity=2048):
+    """Counts of (id, piece, start, length, ids_crc32)."""
+    whole, out = Tokenizer.from_file(tokenizer_path()), Counter()
+    for i, t in rows:
+        ids = np.array([*whole.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            out[i, piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+    return out
+
+
+def assert_sequences(got, capacity=2048):
+    filled = defaultdict(list)
+    for r in got:
+        filled[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in filled.values():
+        ends = np.cumsum([n for _, n in sorted(places)])
+        assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= capacity
+    assert sorted(filled) == list(range(len(filled)))
+
+
+PII = {
+    r"[a-z.]+@[a-z]+\.org": "<EMAIL>",
+    r"\b10\.0\.[0-9]+\.[0-9]+\b": "<IP>",
+    r"4539148803436467": "<CARD>",
+    r"\+4930901820123": "<PHONE>",
+}
+
+
+def test_run_equals_the_stages_by_hand(spark, docs_of, tmp_path):
+    """On planted documents whose personal data is of the kinds that always stay."""
+    rng = random.Random(8)
+    item = " ".join(f"leak{i}" for i in range(14))
+    items = [item, "Short item, four words", "", None]
+    rows = near_copies(6)
+    rows += [(200 + i, f"{i} start {' '.join(item.split()[k:][:n])} end") for i, (k, n) in enumerate([(0, 10), (4, 10), (0, 9), (5, 9)])]
+    rows += [(210, "a SHORT item; four words b"), (211, "short item four"), (220, None), (221, ""), (222, "12 ... 34"), (223, "\u6f22\u5b57 x")]
+    rows += [(230, "write to me.you@here.org, or 10.0.3.7 now"), (231, "pay 4539148803436467 and call +4930901820123, bye")]
+    rows += [(240, " ".join(f"long{rng.randrange(900)}" for _ in range(5000))), (5, rows[0][1]), (None, rows[1][1]), (240, "another text of that id")]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    with_id = [(i, t) for i, t in rows if i is not None]
+    left = stages_by_hand(with_id, items) + [(i, t) for i, t in rows if i is None]
+    for pattern, kind in PII.items():
+        left = [(i, re.sub(pattern, kind, t)) for i, t in left]
+    assert sum("<" in t for _, t in left) == 2
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == pieces_of(left)
+    assert_sequences(got)
+
+
+def test_run_keeps_the_ids_by_hand(spark, small):
+    rows = [(r["doc_id"], r["text"]) for r in small.collect()]
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in got} == {i for i, _ in stages_by_hand(rows, items)}
+    assert_sequences(got)
+
+
 def test_entry_without_the_package():
     """With the package and the pipeline out of reach, the other queries remain."""
     code = (
