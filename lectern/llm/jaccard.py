@@ -144,17 +144,27 @@ def tile_keys(shingles: np.ndarray, settings: JoinSettings) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, settings: JoinSettings) -> DataFrame:
-    """doc_id, text_name, size, set_id, bits, keys of every document; set_id is null without words."""
+    """doc_id, text_name, size, set_id, bits, keys of every document; set_id is null without words.
+
+    A task gives the bits and keys of a set once, at a row with an id, so copies of
+    a text add no rows to its tiles.
+    """
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(settings.words)
+        shingler, given = Shingler(settings.words), set()
         for batch in batches:
             out = []
+            if len(given) > _REMEMBERED:
+                given.clear()
             for doc_id, text_name, text in zip(batch["doc_id"], batch["text_name"], batch["text"], strict=True):
                 s = shingler.shingles(text)
                 if len(s):
                     name = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                    out.append((doc_id, text_name, len(s), name, bitmap(s), tile_keys(s, settings).astype(np.int64)))
+                    bits = keys = None
+                    if not (pd.isna(doc_id) or name in given):
+                        bits, keys = bitmap(s), tile_keys(s, settings).astype(np.int64)
+                        given.add(name)
+                    out.append((doc_id, text_name, len(s), name, bits, keys))
                 else:
                     out.append((doc_id, text_name, 0, None, None, None))
             frame = pd.DataFrame(out, columns=["doc_id", "text_name", "size", "set_id", "bits", "keys"], dtype=object)
@@ -231,7 +241,7 @@ def hot_ends(pairs: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, settings: JoinSettings) -> DataFrame:
     """The pairs (a, b) of set ids that link."""
     pairs = materialize(pairs, "pairs")
-    sets = signed.select("set_id", "size", "bits").dropDuplicates(["set_id"])
+    sets = signed.select("set_id", "size", "bits").filter(F.col("bits").isNotNull()).dropDuplicates(["set_id"])
     both = joined_ends(pairs, sets, hot_ends(pairs))
 
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -323,7 +333,7 @@ def open_pairs(tiles: DataFrame, found: DataFrame, signed: DataFrame, settings:
         .select("key", "main")
     )
     rows = three.join(mixed, "key").filter(F.col("set_id") != F.col("leader"))
-    sets = signed.select("set_id", "size", "bits").dropDuplicates(["set_id"])
+    sets = signed.select("set_id", "size", "bits").filter(F.col("bits").isNotNull()).dropDuplicates(["set_id"])
     rows = materialize(rows.join(sets, "set_id"), "open-tiles")
     blocks = F.ceil(F.col("n") / BLOCK_SETS).cast("int")
     own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
@@ -371,6 +381,22 @@ def _possible(cell: pd.DataFrame, settings: JoinSettings) -> pd.DataFrame:
     return pd.DataFrame({"a": np.concatenate(found_a or none), "b": np.concatenate(found_b or none)}).drop_duplicates()
 
 
+def with_heads(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """``rows(set_id, ...)`` with the head of their set, null without a set.
+
+    ``named(set_id, n, head)``, a written table, counts the rows of every set.  The
+    sets of very many rows are broadcast; their number is bounded by ``HOT_SHARE``.
+    Only rows of other sets are shuffled.
+    """
+    least = max(HOT_PAIRS, int(HOT_SHARE * rows.count()))
+    hot = named.filter(F.col("n") > least)
+    dealt = rows.join(F.broadcast(hot), "set_id", "left")
+    known = F.col("n").isNotNull() | F.col("set_id").isNull()
+    rest = dealt.filter(~known).select(*rows.columns).join(named.drop("n"), "set_id", "left")
+    columns = [*rows.columns, "head"]
+    return dealt.filter(known).select(*columns).unionByName(rest.select(*columns))
+
+
 def _text_name(text: Column | str) -> Column:
     """Tells the texts of a repeated id apart; never null."""
     return F.xxhash64(text)
@@ -401,13 +427,14 @@ def placed(docs: DataFrame, settings: JoinSettings) -> DataFrame:
         links = links.unionByName(verified(more, usable, docs, settings))
         found = components(links)
 
-    classes = usable.groupBy("set_id").agg(F.min("doc_id").alias("smallest"))
+    classes = signed.filter(F.col("set_id").isNotNull()).groupBy("set_id")
+    classes = classes.agg(F.min("doc_id").alias("smallest"), F.count("*").alias("n"))
     linked = found.join(classes, F.col("node") == F.col("set_id"))
     heads = linked.groupBy("component").agg(F.min("smallest").alias("head"))
     linked = linked.join(heads, "component").select("set_id", "head")
     named = classes.join(linked, "set_id", "left")
-    named = named.select("set_id", F.coalesce("head", "smallest").alias("head"))
-    rows = signed.select("doc_id", "text_name", "size", "set_id").join(named, "set_id", "left")
+    named = materialize(named.select("set_id", "n", F.coalesce("head", "smallest").alias("head")), "heads")
+    rows = with_heads(signed.select("doc_id", "text_name", "size", "set_id"), named)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("head", "doc_id"))
     return rows.select("doc_id", "text_name", F.col("size").alias("n_shingles"), component.alias("component_id"))
 

@@ -128,6 +128,24 @@ def test_edge_rows(spark, docs_of):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["5", "6", "7", str(BIG), "3", "None"])
 
 
+def test_copies_add_no_rows_to_tiles(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(jc, "HOT_PAIRS", 10)  # the copies and the null texts are hot
+    base = [f"w{i}" for i in range(50)]
+    texts = [" ".join(base)] * 60 + [" ".join([*base, "x"]), " ".join(["y", *base]), "other words"] + [None] * 30
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = docs_of([(None, texts[0]), *rows])
+    signed = jc.signatures(docs.coalesce(1), jc.JoinSettings()).collect()
+    assert [r["doc_id"] for r in signed if r["keys"] is not None] == [0, 60, 61, 62]
+    assert [r["doc_id"] for r in signed if r["bits"] is not None] == [0, 60, 61, 62]
+    got = jc.near_duplicates(docs).collect()
+    assert sorted(tuple(r) for r in got if r["doc_id"] is not None) == brute(rows)
+    assert [tuple(r) for r in got if r["doc_id"] is None] == [(None, 47, None)]
+    named = spark.createDataFrame([(1, 11, 5), (2, 10, 6), (3, 99, None)], "set_id bigint, n bigint, head bigint")
+    few = spark.createDataFrame([(i, s) for i, s in enumerate([1, 1, 2, 3, 4, None])], "doc_id bigint, set_id bigint")
+    heads = jc.with_heads(few, named).select("doc_id", "head").collect()
+    assert sorted(map(tuple, heads)) == [(0, 5), (1, 5), (2, 6), (3, None), (4, None), (5, None)]
+
+
 def test_repeated_id_with_different_texts(spark, docs_of):
     """Only the row that a kept document stands for is dropped, whatever its id's other texts."""
     a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
