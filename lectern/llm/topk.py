@@ -22,17 +22,29 @@ SHARD_ROWS = 8192
 QUERY_ROWS = 512
 #: Candidates whose scores are resolved directly once reading has stopped.
 RESOLVED = 512
+#: Scores are bigint.
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantized(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component; null for a vector that takes no part.
 
     That is one that is null or empty, or holds a null, NaN or infinite component.
+    A finite component whose value is no bigint is an error.
     """
-    bound = F.lit(float(2**40))
     fits = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    cells = F.transform(vector, lambda x: F.floor(F.least(bound, F.greatest(-bound, x.cast("double") * scale))))
-    return F.when((F.size(vector) > 0) & F.forall(vector, fits), cells)
+
+    def cell(x: Column) -> Column:
+        y = x.cast("double") * scale
+        whole = (y >= float(LEAST)) & (y < -float(LEAST))
+        return F.when(whole, F.floor(y)).otherwise(F.raise_error(F.lit("a component is too large for a bigint")))
+
+    return F.when((F.size(vector) > 0) & F.forall(vector, fits), F.transform(vector, cell))
+
+
+def _largest(x: np.ndarray) -> int:
+    """Largest absolute value of whole numbers, which may be that of ``LEAST``."""
+    return max(int(x.max(initial=0)), -int(x.min(initial=0)))
 
 
 class SortedLists:
@@ -50,7 +62,8 @@ class SortedLists:
         All queries read the lists in step, those with a positive component from
         the high end, those with a negative one from the low end; a query that has
         stopped reads no further.  ``own`` are the ids no query may return for
-        itself.  Ties go to smaller ids.
+        itself.  Ties go to smaller ids.  Scores are exact: Python integers where
+        sums might pass 64 bits.
         """
         n, dims = self.cells.shape
         low, high = self.values[0], self.values[-1]
@@ -58,6 +71,7 @@ class SortedLists:
         from_high, from_low = np.zeros((n, dims), bool), np.zeros((n, dims), bool)
         open_ = np.arange(len(queries))
         slack = 1e-12 * dims * np.abs(self.cells).max(initial=0) * np.abs(queries).max(initial=0)
+        wide = dims * _largest(self.vectors) * _largest(queries) > MOST
         depth, step = 0, max(1, n // 16)
         while len(open_):
             end = min(n, depth + step)
@@ -78,8 +92,12 @@ class SortedLists:
             for at in np.flatnonzero(done):
                 query = open_[at]
                 rows = np.flatnonzero(qualify[:, at] & (self.ids != own[query]))
-                score = self.vectors[rows] @ queries[query]
-                best = np.lexsort((self.ids[rows], -score))[:k]
+                if wide:
+                    score = self.vectors[rows].astype(object) @ queries[query].astype(object)
+                    best = sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]]))[:k]
+                else:
+                    score = self.vectors[rows] @ queries[query]
+                    best = np.lexsort((self.ids[rows], -score))[:k]
                 yield query, self.ids[rows[best]], score[best]
             open_ = open_[~done]
 
@@ -99,7 +117,7 @@ def top_k(
     null take no part, vectors of another length than the query's meet no such
     query.  A query's own row is no candidate for it.  Fewer candidates than ``k``
     give fewer rows; a repeated id is a candidate for each of its rows, a repeated
-    query is answered once.
+    query is answered once.  A score among the best that is no bigint is an error.
 
     Every pair of a shard and a block of queries is one group of bounded size.
     """
@@ -127,18 +145,22 @@ def top_k(
                 for query, got, score in lists.search(own, np.stack(asked["cells"].to_numpy()), k):
                     found.append((np.full(len(got), own[query]), got, score))
         if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "beyond": []})
         query, vec, score = map(np.concatenate, zip(*found, strict=True))
-        return pd.DataFrame({"query_id": query, "vec_id": vec, "score": score})
+        beyond = (score > MOST).astype(np.int64) - (score < LEAST).astype(np.int64)
+        score = np.where(beyond == 0, score, 0).astype(np.int64)
+        return pd.DataFrame({"query_id": query, "vec_id": vec, "score": score, "beyond": beyond})
 
     partial = (
         left.groupBy("shard", "block")
         .cogroup(right.groupBy("shard", "block"))
-        .applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+        .applyInPandas(search, "query_id bigint, vec_id bigint, score bigint, beyond bigint")
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.col("beyond").desc(), F.col("score").desc(), "vec_id")
     ranked = partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    error = F.raise_error(F.lit("a score is too large for a bigint"))
+    score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(error)
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def nearest(embeddings: DataFrame, every: int = 100, k: int = K) -> DataFrame:

@@ -52,3 +52,27 @@ def test_edge_rows(spark):
     # Four candidates cannot fill ten ranks, and a repeated row is a candidate twice.
     twice = table.unionByName(table.filter("vec_id = 1"))
     assert [r["vec_id"] for r in tk.nearest(twice).orderBy("rank").collect()] == [1, 1, 2, 3]
+
+
+def test_large_components(spark):
+    """Scores of the contract up to the largest bigint, and an error beyond."""
+    big = float(1 << 45)
+    rows = [(0, [1.0, -big]), (1, [2 * big, big]), (2, [-big, 1.0]), (3, [3 * big, big]), (4, [0.0, -big / 1024])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    cells = {i: np.array([int(x * 1024) for x in v], dtype=object) for i, v in rows}
+    got = {r["vec_id"]: r["cells"] for r in table.select("vec_id", tk.quantized(F.col("embedding")).alias("cells")).collect()}
+    assert got == {i: list(c) for i, c in cells.items()}
+    with pytest.raises(Exception, match="score is too large"):
+        tk.nearest(table).collect()  # (0, 1) is -2**110
+    small = [(0, [1.0, -1.0]), (1, [2.0**41, 1.0]), (5, [2.0**40, 2.0**40]), (6, [2.0**41 + 1, 1.0]), (7, [-(2.0**41), 2.0**41])]
+    table = spark.createDataFrame(small, "vec_id bigint, embedding array<double>")
+    best = brute([(i, [int(x * 1024) for x in v]) for i, v in small], [(0, [1024, -1024])], 10)
+    assert sorted(map(tuple, tk.nearest(table).collect())) == best
+    lists = tk.SortedLists(np.array([1, 2, 3]), np.array([[1 << 62, 1 << 62], [1 << 62, 1], [-(1 << 63), 0]]))
+    found = list(lists.search(np.array([9]), np.array([[1 << 40, -3]]), 3))
+    assert found[0][1].tolist() == [2, 1, 3]
+    assert found[0][2].tolist() == [(1 << 102) - 3, (1 << 102) - 3 * (1 << 62), -(1 << 103)]
+    for x in (2.0**53, -(2.0**54), 1e308):
+        wide = spark.createDataFrame([(0, [x]), (1, [1.0])], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="component is too large"):
+            tk.nearest(wide).collect()
