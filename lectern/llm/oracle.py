@@ -1,8 +1,8 @@
 """SQL for the queries of this package that SQL can express.
 
 The others are tested against brute force: op2 (its spans come from a trained
-model; the base columns are expressible and tested), op6 (a tokenizer), op7 and
-op9 (trained models).
+model; the base columns are expressible and tested), op3, op7, op9 and op11 (trained
+models), op6 and op10 (a tokenizer).
 """
 
 from __future__ import annotations
@@ -98,3 +98,79 @@ WITH vec AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+def _crc_table() -> list[int]:
+    """What crc32 adds for every byte: eight steps of division by its polynomial."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [(c >> 1) ^ (0xEDB88320 if c & 1 else 0) for c in out]
+    return out
+
+
+# A run's letters are ASCII or take two bytes, the first of which is 195.
+ORACLE["op12_spelling_variants"] = f"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, times, xor(list_reduce(list_concat(
+      list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':', ''), lambda c: CAST(unicode(c) AS BIGINT)),
+      flatten(list_transform(string_split(run, ''), lambda c:
+        CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END))),
+    lambda c, b: xor(c >> 8, {_crc_table()}[xor(c & 255, b) + 1]), 4294967295), 4294967295) AS h
+  FROM run
+), word AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+    FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+), pair AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM word a JOIN cut b ON a.word = b.rest
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM word a JOIN cut b ON a.word = b.rest
+), best AS (
+  SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+    row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place
+  FROM pair
+), form AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM word w LEFT JOIN (SELECT * FROM best WHERE place = 1) b ON w.word = b.word
+), path AS (
+  SELECT word, word AS root FROM form WHERE form IS NULL
+  UNION ALL
+  SELECT f.word, p.root FROM form f JOIN path p ON f.form = p.word
+)
+SELECT word, form, root, n, n_near, form_n FROM form JOIN path USING (word)
+"""
+
+ORACLE["op13_hard_negatives"] = """
+WITH vec AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM vec a JOIN vec c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), positive AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+    n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positive p JOIN scored n ON p.anchor_id = n.anchor_id AND p.place <= 5 AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""

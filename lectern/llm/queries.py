@@ -7,7 +7,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate, jaccard, language, packing, pii, quality, tokencount, topk, toxicity, warc
+from lectern.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    lmscore,
+    negatives,
+    packing,
+    pii,
+    quality,
+    tokencount,
+    topk,
+    toxicity,
+    variants,
+    warc,
+)
 from lectern.plans.storage import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +98,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
