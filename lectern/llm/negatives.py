@@ -107,7 +107,7 @@ class Shard:
         if len(anchor) * self.largest * max(abs(int(x)) for x in anchor) > MOST:
             anchor = anchor.astype(object)
         order = np.argsort(-np.abs(anchor.astype(np.float64)), kind="stable")
-        ends = np.stack([anchor * self.low, anchor * self.high])[:, order]
+        ends = np.stack([anchor * self.low.astype(anchor.dtype), anchor * self.high.astype(anchor.dtype)])[:, order]
         zero = np.zeros(1, ends.dtype)
         rest = [np.concatenate([np.cumsum(part[::-1])[::-1], zero]) for part in (ends.min(axis=0), ends.max(axis=0))]
         return order, list(rest[0]), list(rest[1]), anchor
@@ -125,7 +125,7 @@ class Shard:
             if not len(rows):
                 break
             for d in order[start : start + STRIDE]:
-                partial += anchor[d] * self.columns[d][rows]
+                partial += anchor[d] * self.columns[d][rows].astype(anchor.dtype, copy=False)
                 read += len(rows)
             n = min(start + STRIDE, len(order))
             stay = keep(partial + least[n], partial + most[n])
@@ -141,8 +141,7 @@ class Shard:
             return upper >= np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) > k else np.ones(len(lower), bool)
 
         rows, scores, _ = self.scan(anchor, (self.labels == label) & (self.ids != own), keep)
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows[best]], scores[best]
+        return _first(self.ids[rows], scores, k)
 
     def negatives(self, label: int, anchor: np.ndarray, windows: list[tuple[int, int]], k: int) -> list:
         """(ids, scores) per window (least, most score): the best ``k`` rows of other labels in it."""
@@ -159,12 +158,20 @@ class Shard:
         rows, scores, _ = self.scan(anchor, self.labels != label, keep)
         out = []
         for least, most in windows:
-            inside = np.flatnonzero((scores >= least) & (scores <= most))
-            best = inside[np.lexsort((self.ids[rows[inside]], -scores[inside]))[:k]]
-            out.append((self.ids[rows[best]], scores[best]))
+            inside = (scores >= least) & (scores <= most)
+            out.append(_first(self.ids[rows[inside]], scores[inside], k))
         return out
 
 
+def _first(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` of highest score, ties to smaller ids."""
+    if scores.dtype == object:
+        best = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
+    else:
+        best = np.lexsort((ids, -scores))[:k]
+    return ids[best], scores[best]
+
+
 def _score(values) -> list[int]:
     if any(abs(int(x)) > MOST for x in values):
         raise ValueError("a score is too large for a bigint")

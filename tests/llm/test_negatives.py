@@ -84,7 +84,8 @@ def test_negative_and_zero_scores(spark):
 
 
 def test_large_components(spark):
-    rows = [(i, [2.0**24 * (1 + i % 5), 2.0**23], i % 3) for i in range(110)]
+    rows = [(i, [2.0**23 * (1 - i % 5 / 8), 2.0**23 * (0.5 - i % 4 / 4)], i % 3) for i in range(110)]
+    assert max(r[5] for r in brute(rows)) > 1 << 60
     assert result(spark, rows) == brute(rows)
     with pytest.raises(Exception, match="too large for a bigint"):
         result(spark, [(i, [2.0**40, 1.0], 0) for i in range(60)])
