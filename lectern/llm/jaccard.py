@@ -37,7 +37,9 @@ BROADCAST_IDS = 1_000_000
 #: at most 2 / HOT_SHARE ends are.
 HOT_PAIRS = 1000
 HOT_SHARE = 1e-4
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
+#: Rows a task hands on at a time.
+_SLICE = 1000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -150,6 +152,10 @@ def signatures(docs: DataFrame, settings: JoinSettings) -> DataFrame:
     a text add no rows to its tiles.
     """
 
+    def framed(rows: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=["doc_id", "text_name", "size", "set_id", "bits", "keys"], dtype=object)
+        return frame.astype({"text_name": "int64", "size": "int64", "set_id": "Int64"})
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, given = Shingler(settings.words), set()
         for batch in batches:
@@ -167,9 +173,10 @@ def signatures(docs: DataFrame, settings: JoinSettings) -> DataFrame:
                     out.append((doc_id, text_name, len(s), name, bits, keys))
                 else:
                     out.append((doc_id, text_name, 0, None, None, None))
-            frame = pd.DataFrame(out, columns=["doc_id", "text_name", "size", "set_id", "bits", "keys"], dtype=object)
-            whole = {"text_name": "int64", "size": "int64", "set_id": "Int64"}
-            yield frame.astype(whole)
+                if len(out) == _SLICE:
+                    yield framed(out)
+                    out.clear()
+            yield framed(out)
 
     # Ids pass as text: a column with nulls would become floating-point numbers.
     schema = "doc_id string, text_name bigint, size bigint, set_id bigint, bits binary, keys array<bigint>"
@@ -179,8 +186,11 @@ def signatures(docs: DataFrame, settings: JoinSettings) -> DataFrame:
 
 
 def shared_tiles(signed: DataFrame) -> DataFrame:
-    """key, set_id of the tiles with more than one set."""
-    keys = signed.select(F.explode("keys").alias("key"), "set_id")
+    """key, set_id of the tiles with more than one set.
+
+    Keys are shuffled once, for finding the shared ones and for picking their rows.
+    """
+    keys = signed.select(F.explode("keys").alias("key"), "set_id").repartition("key")
     shared = (
         keys.groupBy("key")
         .agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
@@ -190,19 +200,33 @@ def shared_tiles(signed: DataFrame) -> DataFrame:
     return keys.join(shared, "key").distinct()
 
 
+def by_tile(tiles: DataFrame, groups: DataFrame, least: int) -> DataFrame:
+    """``tiles(key, set_id)`` with the columns of the written table ``groups(key, n, ...)``.
+
+    The tiles of more than ``least`` sets are broadcast; their number is bounded by
+    ``HOT_SHARE``.  Only the rows of the others are shuffled.
+    """
+    hot = groups.filter(F.col("n") > least)
+    dealt = tiles.join(F.broadcast(hot), "key", "left")
+    rest = dealt.filter(F.col("n").isNull()).select(*tiles.columns)
+    rest = rest.join(groups.filter(F.col("n") <= least), "key")
+    return dealt.filter(F.col("n").isNotNull()).unionByName(rest)
+
+
 def with_leaders(tiles: DataFrame) -> DataFrame:
     """The tiles with their number of sets and their leader.
 
     The leader shares most tiles with others: in a group of near copies, one with
     few changes of its own.
     """
-    n = tiles.groupBy("key").agg(F.count("*").alias("n"))
-    sized = tiles.join(n, "key")
+    least = max(HOT_PAIRS, int(HOT_SHARE * tiles.count()))
+    sizes = materialize(tiles.groupBy("key").agg(F.count("*").alias("n")), "tile-sizes")
+    sized = by_tile(tiles, sizes, least)
     central = sized.groupBy("set_id").agg(F.sum("n").alias("central"))
-    sized = sized.join(central, "set_id")
-    leader = sized.groupBy("key").agg(F.max(F.struct("central", "set_id")).alias("top"))
-    leader = leader.select("key", F.col("top.set_id").alias("leader"))
-    return sized.select("key", "set_id", "n").join(leader, "key")
+    top = F.max(F.struct("central", "set_id")).alias("top")
+    leaders = sized.join(central, "set_id").groupBy("key").agg(F.max("n").alias("n"), top)
+    leaders = leaders.select("key", "n", F.col("top.set_id").alias("leader"))
+    return by_tile(tiles, materialize(leaders, "leaders"), least)
 
 
 def _ordered(a: str, b: str) -> list:
