@@ -205,6 +205,7 @@ _SELECTS: dict[str, str] = {
     "score_inputs": "SELECT id, text FROM bench_docs",
     "clean_text": "SELECT id, title, text, subject FROM clean_docs",
     "dedup_text": f"SELECT id, title, text, subject FROM ({_once_per_text('clean_docs')})",
+    "dedup_colliding_ids": "SELECT min(id // 2) AS id, text FROM clean_docs GROUP BY text",
     "duplicate_groups": """
         SELECT sha256(c.text) AS text_hash, count(*) AS copies, min(c.id) AS min_id,
                CAST(count(DISTINCT l.quality) AS INTEGER) AS n_labels
@@ -277,6 +278,9 @@ _SELECTS: dict[str, str] = {
         SELECT f.id, v.idx, f.word, CAST(1 AS DOUBLE) AS tf, {_r('v.idf', 'idf')},
                {_r('v.idf', 'tfidf')}
         FROM prepared_tf f JOIN vocabulary v ON f.word = v.word""",
+    "large_vocabulary_features": f"""
+        SELECT f.id, v.idx, {_r('v.idf', 'tfidf')}
+        FROM prepared_tf f JOIN vocabulary v ON f.word = v.word""",
     "hashing_tf": f"""
         SELECT p.id, coalesce(t.n, 0) AS n_tokens FROM prepared p LEFT JOIN (
           SELECT id, count(*) AS n FROM ({_tokens('prepared', '[^0-9A-Za-z_]+')}) GROUP BY id) t
@@ -335,6 +339,12 @@ _SELECTS: dict[str, str] = {
                {_r('sum(CASE WHEN rank <= 50 THEN p ELSE 0 END)', 'top_share')}
         FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY p DESC, idx) AS rank
               FROM shares) GROUP BY model""",
+    "cumulative_importance": f"""
+        SELECT model, idx, rank, {_r('p', 'p')},
+               {_r('sum(p) OVER (PARTITION BY model ORDER BY rank)', 'cumulative')}
+        FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY p DESC, idx) AS rank
+              FROM (SELECT model, idx, importance / sum(importance) OVER (PARTITION BY model) AS p
+                    FROM importances))""",
     "importance_spearman": f"""
         SELECT 'log_odds' AS model_a, 'idf_mass' AS model_b, count(*) AS n_features,
                {_r('corr(a.rank, b.rank)', 'spearman')}

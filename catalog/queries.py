@@ -23,7 +23,7 @@ from lectern.operators import sampling as sm
 from lectern.operators import scoring as so
 from lectern.plans import presets as ps
 from lectern.plans import runs
-from lectern.plans.storage import fresh_path
+from lectern.plans.storage import MAX_LOOKUP_BYTES, fresh_path
 from lectern.sources import artifacts as af
 from lectern.sources import readers as rd
 from lectern.sources import schema as sh
@@ -112,6 +112,13 @@ def dedup_text(spark, sf):
     return cl.dedup_text(cl.clean_text(tb.documents(spark, sf)))
 
 
+@query
+def dedup_colliding_ids(spark, sf):
+    """De-duplication where two documents share each id, as when sources number alike."""
+    docs = cl.clean_text(tb.documents(spark, sf)).select(F.floor(F.col("id") / 2).alias("id"), "text")
+    return cl.dedup_text(docs)
+
+
 @query
 def duplicate_groups(spark, sf):
     docs = cl.clean_text(tb.documents(spark, sf))
@@ -265,6 +272,17 @@ def tfidf_weights(spark, sf):
     return rounded(ft.tfidf_weights(docs, fitted.vocabulary, fitted.spec), "idf", "tfidf")
 
 
+@query
+def large_vocabulary_features(spark, sf):
+    """Feature vectors as they are made when no task may hold the vocabulary."""
+    docs, fitted = tb.fit_train(spark, sf)
+    beyond = replace(fitted.vocabulary.size, nbytes=MAX_LOOKUP_BYTES + 1)
+    large = replace(fitted, vocabulary=replace(fitted.vocabulary, size=beyond), pipeline=None)
+    entries = sc.vector_entries(F.col(fitted.spec.output_col))
+    vectors = large.transform(docs).select("id", F.inline(entries))
+    return rounded(vectors.withColumnRenamed("value", "tfidf"), "tfidf")
+
+
 @query
 def hashing_tf(spark, sf):
     """Hashed counts add up to the number of tokens of each document."""
@@ -427,6 +445,12 @@ def importance_spearman(spark, sf):
     return rounded(im.importance_spearman(table, "log_odds", "idf_mass"), "spearman")
 
 
+@query
+def cumulative_importance(spark, sf):
+    table = im.cumulative_importance(tb.demo_model(spark, sf).importances())
+    return rounded(table.select("model", "idx", "rank", "p", "cumulative"), "p", "cumulative")
+
+
 # --- trained models -----------------------------------------------------------
 
 TRAIN = {

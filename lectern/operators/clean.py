@@ -40,18 +40,25 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 
 def content_keys(df: DataFrame, key: str = "id") -> DataFrame:
-    """(key, digest): all that de-duplication needs to know about a row."""
-    return df.select(tx.row_key(key).alias(key), tx.content_digest(F.col("text")).alias("digest"))
+    """(key, digest, hash): all that de-duplication needs to know about a row.
+
+    The digest tells texts apart; the hash, cheaper to take again, finds the row of
+    a key that repeats.
+    """
+    text = F.col("text")
+    digest, hashed = tx.content_digest(text).alias("digest"), F.xxhash64(text).alias("hash")
+    return df.select(tx.row_key(key).alias(key), digest, hashed)
 
 
 def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = None) -> DataFrame:
     """One row per distinct text: the one with the smallest key.
 
-    With a unique key, survivors are found on (key, digest) pairs alone.  Those
-    aggregate on the map side, so a text with very many copies costs one short
-    row per map task.  The wide rows are then filtered by key, which is evenly
-    spread, and not shuffled at all if they already lie by key (after a join on
-    it, or in a table bucketed by it).
+    Survivors are found on keys and hashes alone.  Those aggregate on the map side,
+    so a text with very many copies costs one short row per map task.  The wide rows
+    are then filtered by key and hash, which are evenly spread, and not shuffled at
+    all if they already lie by key (after a join on it, or in a table bucketed by
+    it).  A key may repeat, as when two sources number theirs alike: its texts are
+    judged each by itself, and of rows that share key and text one stays.
 
     ``keys`` replaces ``content_keys(df)`` for a caller who can get the same
     pairs cheaper, say from before a join that would carry the texts along.
@@ -66,8 +73,12 @@ def dedup_text(df: DataFrame, key: str | None = "id", keys: DataFrame | None = N
             .agg(F.min(row).alias("_row"))
             .select("_row.*")
         )
-    survivors = _surviving(content_keys(df, key) if keys is None else keys, key)
-    return df.join(survivors, key, "left_semi")
+    keys = content_keys(df, key) if keys is None else keys
+    smallest = keys.groupBy("digest", F.col("hash").alias("_hash")).agg(F.min(key).alias(key))
+    survivors = smallest.select(key, "_hash")
+    marked = df.withColumn("_hash", F.xxhash64("text"))
+    kept = marked.join(survivors, [key, "_hash"], "left_semi").dropDuplicates([key, "_hash"])
+    return kept.select(*df.columns)
 
 
 def _surviving(keys: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The vocabulary comes from one aggregation over the corpus, ordered by corpus
 count and then by word, so it is the same whatever the partitioning.  Everything
-after that is a narrow transform by standard ML stages.
+after that is a narrow transform by standard ML stages, or a join where the
+vocabulary is too large for a task.
 """
 
 from __future__ import annotations
@@ -20,18 +21,20 @@ from pyspark.ml.feature import (
     StopWordsRemover,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import scores as sc
 from lectern.functions import text as tx
 from lectern.functions.stopwords import ENGLISH_STOP_WORDS
+from lectern.operators.ranking import largest, numbered
 from lectern.plans.storage import (
     MAX_LOOKUP_BYTES,
     MAX_LOOKUP_ROWS,
     LookupSize,
     lookup_join,
     materialize,
+    materialize_vectors,
     measure_lookup,
 )
 
@@ -136,20 +139,16 @@ class Vocabulary:
 def rank_vocabulary(stats: DataFrame, n_docs: int, spec: FeatureSpec) -> DataFrame:
     """The ``vocab_size`` most frequent words that enough documents contain.
 
-    ``min_df`` is a number of documents from 1 upwards, below 1 a fraction.  The
-    ranking window runs over the limited rows only.
+    ``min_df`` is a number of documents from 1 upwards, below 1 a fraction.
+    ``stats`` is a written table.  Neither the selection nor the numbering takes
+    place in one task, whatever the size of the vocabulary.
     """
     needed = spec.min_df if spec.min_df >= 1 else spec.min_df * n_docs
-    top = (
-        stats.filter((F.col("word") != "") & (F.col("doc_freq") >= F.lit(float(needed))))
-        .orderBy(F.desc("corpus_count"), "word")
-        .limit(spec.vocab_size)
-    )
-    order = Window.orderBy(F.desc("corpus_count"), "word")
+    usable = stats.filter((F.col("word") != "") & (F.col("doc_freq") >= F.lit(float(needed))))
+    top = largest(usable, "corpus_count", ["word"], spec.vocab_size)
     idf = F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + 1.0))
-    return top.select(
-        (F.row_number().over(order) - 1).alias("idx"), "word", "corpus_count", "doc_freq",
-        idf.alias("idf"),
+    return numbered(top, [F.desc("corpus_count"), "word"]).select(
+        (F.col("rank") - 1).cast("int").alias("idx"), "word", "corpus_count", "doc_freq", idf.alias("idf")
     )
 
 
@@ -190,11 +189,20 @@ def counting_stages(words: Sequence, spec: FeatureSpec) -> list:
 
 @dataclass(frozen=True)
 class FittedFeatures:
+    """``pipeline`` holds the vocabulary in its stages; None beyond the lookup bounds."""
+
     spec: FeatureSpec
     vocabulary: Vocabulary
-    pipeline: PipelineModel
+    pipeline: PipelineModel | None
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """Adds the feature vectors of ``df``, by the stages or, without, by joins.
+
+        Both give the same vectors for the same rows; the stages leave their
+        intermediate columns as well.
+        """
+        if self.pipeline is None:
+            return vectors_by_join(df, self.vocabulary, self.spec)
         return self.pipeline.transform(df)
 
     def meta(self) -> dict:
@@ -212,8 +220,14 @@ class FittedFeatures:
 
 
 def fit_features(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedFeatures:
-    """Fit vocabulary and idf; pass the training rows only."""
+    """Fit vocabulary and idf; pass the training rows only.
+
+    A vocabulary beyond the lookup bounds is never collected: documents then meet it
+    in a join.
+    """
     vocabulary = fit_vocabulary(df, spec)
+    if not vocabulary.size.small:
+        return FittedFeatures(spec, vocabulary, None)
     stages = counting_stages(vocabulary.words, spec)
     return FittedFeatures(spec, vocabulary, PipelineModel(stages=stages))
 
@@ -245,26 +259,56 @@ def _entries_in_place(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec,
     return counted.select("id", *keep, F.inline(entries)).withColumnRenamed("value", "tf")
 
 
-def _entries_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
-    """(id, idx, tf) for a vocabulary too large to hold: counts per document and
-    word, then a join with the words.  The rows of a document lie together, so
-    the counts are nearly complete before they are shuffled.  Documents are
-    numbered and written first, so that equal ids stay apart."""
-    columns = dict.fromkeys(["id", *keep, spec.input_col])
-    numbered = df.select(*columns).withColumn("_row", F.monotonically_increasing_id())
-    numbered = materialize(numbered, "numbered")
+def _word_counts(numbered_docs: DataFrame, row: str, spec: FeatureSpec, *keep: str) -> DataFrame:
+    """(row, keep..., word, tf) of written documents with a number of their own.
+
+    The rows of a document lie together, so the counts are nearly complete before
+    they are shuffled.
+    """
     pieces = tx.split_words(F.col(spec.input_col), spec.pattern)
     if spec.binary_tf:
         pieces = F.array_distinct(pieces)
     word = F.col("word")
-    rows = numbered.select("_row", "id", *keep, F.explode(pieces).alias("word")).filter(
+    rows = numbered_docs.select(row, *keep, F.explode(pieces).alias("word")).filter(
         tx.is_token(word, spec.min_token_length) & ~tx.is_stop_word(word, spec.stop_words)
     )
-    counted = rows.groupBy("_row", "id", *keep, "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    return rows.groupBy(row, *keep, "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+
+
+def _entries_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
+    """(id, idx, tf) for a vocabulary too large to hold: counts per document and
+    word, then a join with the words.  Documents are numbered and written first, so
+    that equal ids stay apart."""
+    columns = dict.fromkeys(["id", *keep, spec.input_col])
+    numbered = df.select(*columns).withColumn("_row", F.monotonically_increasing_id())
+    numbered = materialize(numbered, "numbered")
+    counted = _word_counts(numbered, "_row", spec, "id", *keep)
     words = vocabulary.table.select("word", "idx")
     return lookup_join(counted, words, "word", vocabulary.size, spread_by=("_row",)).drop("word")
 
 
+def vectors_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec) -> DataFrame:
+    """``df`` with its feature vectors, for a vocabulary that no task could hold.
+
+    Words are replaced by their indices in a join, spread over salts, and gathered
+    per document into a sparse vector, which is as long as the document and not as
+    the vocabulary.  Documents without a known word get zeros.  Rows are numbered
+    first: ids may repeat or be missing.  The result is a written table.
+    """
+    number = "_document"
+    while number in df.columns:
+        number += "_"
+    docs = materialize(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    counted = _word_counts(docs, number, spec)
+    words = vocabulary.table.select("word", "idx", "idf")
+    known = lookup_join(counted, words, "word", vocabulary.size, spread_by=(number,))
+    value = F.col("tf") * F.col("idf") if spec.use_idf else F.col("tf")
+    entry = F.struct(F.col("idx").alias("idx"), value.alias("value"))
+    gathered = known.groupBy(number).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    joined = docs.join(gathered, number, "left").drop(number)
+    return materialize_vectors(joined, vocabulary.size.rows, "_entries", spec.output_col, "features")
+
+
 def term_entries(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, *keep: str) -> DataFrame:
     """Count of each vocabulary index per document (1 when binary)."""
     count = _entries_in_place if vocabulary.size.small else _entries_by_join

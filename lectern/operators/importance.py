@@ -1,16 +1,17 @@
 """Concentration and agreement of feature importances.
 
 Input rows are (model, idx, importance).  Totals, sums of squares and the
-largest shares are partial sums and a top-k, so no task holds a whole model;
-only running sums and rank correlations order one.
+largest shares are partial sums and a top-k; ranks and running sums are taken over
+ranges of a model.  No task holds a whole one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.operators.ranking import top_k
+from lectern.operators.ranking import numbered, top_k
+from lectern.plans.storage import materialize
 
 
 def normalize_importances(importances: DataFrame) -> DataFrame:
@@ -23,13 +24,8 @@ def normalize_importances(importances: DataFrame) -> DataFrame:
 
 def cumulative_importance(importances: DataFrame) -> DataFrame:
     """Adds rank by falling share and the running sum up to it."""
-    order = Window.partitionBy("model").orderBy(F.desc("p"), "idx")
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        normalize_importances(importances)
-        .withColumn("rank", F.row_number().over(order))
-        .withColumn("cumulative", F.sum("p").over(running))
-    )
+    shares = normalize_importances(importances)
+    return numbered(shares, [F.desc("p"), "idx"], ["model"], "p").withColumnRenamed("running", "cumulative")
 
 
 def importance_concentration(importances: DataFrame, k: int = 50) -> DataFrame:
@@ -44,10 +40,8 @@ def importance_concentration(importances: DataFrame, k: int = 50) -> DataFrame:
 
 def importance_spearman(importances: DataFrame, first: str, second: str) -> DataFrame:
     """Rank correlation of two models, ties ranked by index; NaN without variance."""
-    order = Window.partitionBy("model").orderBy("importance", "idx")
-    ranked = importances.filter(F.col("model").isin(first, second)).withColumn(
-        "rank", F.row_number().over(order)
-    )
+    chosen = importances.filter(F.col("model").isin(first, second))
+    ranked = materialize(numbered(chosen, ["importance", "idx"], ["model"]), "ranks")
     a = ranked.filter(F.col("model") == first).select("idx", F.col("rank").alias("a"))
     b = ranked.filter(F.col("model") == second).select("idx", F.col("rank").alias("b"))
     joined = a.join(b, "idx").agg(

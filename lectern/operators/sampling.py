@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
-from lectern.operators.ranking import top_k
+from lectern.operators.ranking import largest, top_k
+from lectern.plans.storage import materialize
 
 SEED = 42
+#: Rows that one task may gather.
+GATHERED_ROWS = 1000
 _BITS = 32
 
 
@@ -37,8 +40,17 @@ def sample_rows_by_position(df: DataFrame, fraction: float, seed: int = SEED) ->
 
 
 def random_rows(df: DataFrame, n: int, seed: int = SEED, key: str = "id") -> DataFrame:
-    """The ``n`` rows with the smallest draws, in one job; ties by key."""
-    return top_k(df, [_draw(key, seed), key], n).drop("rank")
+    """The ``n`` rows with the smallest draws; ties by key.
+
+    A few rows are gathered in one job.  Of very many only the last draw is found,
+    and no task holds them; the rows are written for that.
+    """
+    if n <= GATHERED_ROWS:
+        return top_k(df, [_draw(key, seed), key], n).drop("rank")
+    # The first 60 bits of a draw as a number; largest() takes the other end.
+    first = -F.conv(F.substring("_draw", 1, 15), 16, 10).cast("bigint")
+    drawn = df.withColumn("_draw", _draw(key, seed)).withColumn("_first", first)
+    return largest(materialize(drawn, "drawn"), "_first", ["_draw", key], n).select(*df.columns)
 
 
 def first_rows(df: DataFrame, n: int, key: str = "id") -> DataFrame:

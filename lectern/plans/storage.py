@@ -7,8 +7,10 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup table is broadcast, or held by a model, only below both bounds.
 MAX_LOOKUP_ROWS = 1 << 18
@@ -53,6 +55,28 @@ def materialize(df: DataFrame, name: str = "table", partition_by: Sequence[str]
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def materialize_vectors(df: DataFrame, size: int, entries: str, out: str, name: str = "vectors") -> DataFrame:
+    """``materialize`` with sparse vectors of ``size`` made from a column of entries.
+
+    ``entries`` is an array of (idx, value) in rising order, or null for a vector of
+    zeros; ``out`` replaces it.  Files hold a vector as the struct it consists of, so
+    that struct is written and read back as a vector: no row passes through Python.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    known = F.coalesce(entries, F.array().cast(df.schema[entries].dataType))
+    parts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),  # fixed value: sparse
+        F.lit(size).alias("size"),
+        known["idx"].alias("indices"),
+        known["value"].alias("values"),
+    )
+    kept = [c for c in df.columns if c not in (entries, out)]
+    df.select(*kept, parts.alias(out)).write.parquet(path)
+    fields = [T.StructField(c, df.schema[c].dataType) for c in kept]
+    return spark.read.schema(T.StructType([*fields, T.StructField(out, VectorUDT())])).parquet(path)
+
+
 def spread(df: DataFrame, key: str = "id") -> DataFrame:
     """Repartition by ``key`` an input of fewer tasks than there are cores.
 

@@ -75,8 +75,10 @@ def write_prediction_sample(sample: DataFrame, folder: str, model: str) -> str:
 
 def save_features(fitted: FittedFeatures, folder: str) -> str:
     """The fitted stages, the vocabulary table with idf, and one row of settings
-    that includes whether term counts are binary."""
-    fitted.pipeline.write().overwrite().save(f"{folder}/stages")
+    that includes whether term counts are binary.  A vocabulary that no task may
+    hold has no stages; its tables are all that scoring needs."""
+    if fitted.pipeline is not None:
+        fitted.pipeline.write().overwrite().save(f"{folder}/stages")
     fitted.vocabulary.table.write.mode("overwrite").parquet(f"{folder}/vocabulary")
     spark = fitted.vocabulary.table.sparkSession
     meta = spark.createDataFrame([tuple(fitted.meta().values())], list(fitted.meta()))

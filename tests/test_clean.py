@@ -93,6 +93,15 @@ def test_dedup_without_ids_keeps_whole_rows(spark):
         cl.dedup_text(df)
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeated_keys_are_judged_by_their_text(spark, parts):
+    rows = [(1, "A", "x"), (1, "B", "y"), (2, "A", "z"), (2, "C", "u"), (3, "D", "v"), (3, "D", "v"), (4, None, "w")]
+    df = spark.createDataFrame(rows, "id bigint, text string, title string").repartition(parts)
+    got = sorted((r["id"], r["text"] or "", r["title"]) for r in cl.dedup_text(df).collect())
+    assert got == [(1, "A", "x"), (1, "B", "y"), (2, "C", "u"), (3, "D", "v"), (4, "", "w")]
+    assert cl.dedup_text(df).columns == df.columns
+
+
 def test_a_null_key_fails_rather_than_losing_its_row(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "id bigint, text string")
     with pytest.raises(Exception, match="null in key column"):

@@ -121,6 +121,76 @@ def test_a_vocabulary_too_large_to_hold_gives_the_same_counts(articles, binary):
         assert sorted(map(tuple, salted.collect())) == small_rows and small_rows
 
 
+def beyond_bounds(fitted):
+    size = replace(fitted.vocabulary.size, rows=10**9)
+    return replace(fitted, vocabulary=replace(fitted.vocabulary, size=size), pipeline=None)
+
+
+@pytest.mark.parametrize("binary, use_idf", [(True, True), (False, True), (False, False)])
+def test_vectors_by_join_equal_those_of_the_stages(spark, articles, binary, use_idf):
+    spec = replace(SPEC, binary_tf=binary, use_idf=use_idf)
+    fitted = ft.fit_features(articles, spec)
+    odd = [(1, "T", "budget budget zzz", "s", 1), (1, "T", "aliens", "s", 0), (None, "T", None, "s", 1), (9, "T", "", "s", 0)]
+    docs = articles.unionByName(spark.createDataFrame(odd, articles.schema))
+    large = beyond_bounds(fitted)
+    # The size of the vectors is that of the vocabulary, whatever the bound says.
+    n = fitted.vocabulary.size.rows
+    large = replace(large, vocabulary=replace(large.vocabulary, size=replace(fitted.vocabulary.size, nbytes=1 << 40)))
+    got, want = large.transform(docs), fitted.transform(docs.fillna("", ["text"]))
+
+    def rows(df):
+        return sorted((str(r["id"]), r["title"], r["features"].size, tuple(r["features"].toArray())) for r in df.collect())
+
+    assert got.columns == [*docs.columns, "features"]
+    assert got.schema["features"].dataType == want.schema["features"].dataType
+    assert rows(got) == [(i, t, n, pytest.approx(v, abs=1e-12)) for i, t, _, v in rows(want)]
+
+
+def test_a_model_trains_on_vectors_by_join(articles, monkeypatch):
+    from lectern.operators import models as md
+    from lectern.plans import storage
+
+    spec = md.ModelSpec("logreg", {"maxIter": 20, "regParam": 0.1})
+    small = ft.fit_features(articles, SPEC)
+    monkeypatch.setattr(storage, "MAX_LOOKUP_ROWS", 0)
+    large = ft.fit_features(articles, SPEC)
+    assert small.pipeline is not None and large.pipeline is None
+    fits = [spec.estimator().fit(md.as_training_rows(f.transform(articles))) for f in (small, large)]
+    assert fits[1].coefficients.toArray() == pytest.approx(fits[0].coefficients.toArray(), abs=1e-6)
+
+
+def test_a_whole_run_beyond_the_bounds(spark, articles, monkeypatch, tmp_path):
+    from lectern.operators import models as md
+    from lectern.plans import presets as ps
+    from lectern.plans import runs, storage
+
+    preset = ps.Preset(SPEC, (md.ModelSpec("logreg", {"maxIter": 5, "regParam": 0.1}),))
+    want = runs.train(articles, preset).metrics[0]
+    monkeypatch.setattr(storage, "MAX_LOOKUP_ROWS", 0)
+    run = runs.train(articles, preset)
+    names = ("tp", "tn", "fp", "fn", "total")
+    assert [run.metrics[0][n] for n in names] == [want[n] for n in names]
+    runs.save_run(run, str(tmp_path))
+    scored = runs.score_saved(articles.select("id", "text"), str(tmp_path), "logreg")
+    assert scored.count() == 120 and scored.filter("probability IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("size", [0, 1, 7, 1000])
+def test_vocabulary_cut_equals_a_sort(articles, size):
+    spec = replace(SPEC, min_df=1)
+    every, n_docs = vocabulary_rows(articles, replace(spec, vocab_size=10**6))
+    rows, _ = vocabulary_rows(articles, replace(spec, vocab_size=size))
+    assert rows == sorted(every, key=lambda r: (-r[2], r[1]))[:size]
+    assert [r[0] for r in every] == list(range(len(every)))
+
+
+def test_no_task_gathers_the_vocabulary(articles):
+    vocabulary = ft.fit_vocabulary(articles, SPEC)
+    stats = ft.materialize(ft.word_statistics(articles, SPEC), "stats")
+    plan = ft.rank_vocabulary(stats, vocabulary.n_docs, SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan
+
+
 def test_hashed_counts_keep_the_number_of_tokens(articles):
     spec = replace(SPEC, binary_tf=False)
     hashed = ft.hashed_features(articles, spec, 64).select(

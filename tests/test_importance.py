@@ -47,6 +47,18 @@ def test_spearman(table, values):
     assert row["spearman"] == pytest.approx(want) and row["n_features"] == 80
 
 
+def test_cumulative(table, values):
+    rows = im.cumulative_importance(table).collect()
+    for name, vs in zip("ab", values):
+        order = sorted(range(len(vs)), key=lambda i: (-vs[i], i))
+        mine = sorted((r for r in rows if r["model"] == name), key=lambda r: r["rank"])
+        assert [r["idx"] for r in mine] == order and [r["rank"] for r in mine] == list(range(1, 81))
+        running = 0.0
+        for r in mine:
+            running += vs[r["idx"]] / sum(vs)
+            assert r["cumulative"] == pytest.approx(running)
+
+
 def test_degenerate_inputs(spark):
     one = spark.createDataFrame([("a", 0, 0.0), ("b", 0, 0.0)], "model string, idx int, importance double")
     assert math.isnan(im.importance_spearman(one, "a", "b").first()["spearman"])

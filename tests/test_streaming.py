@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -33,3 +35,50 @@ def test_arriving_files_are_scored_once(spark, articles, tmp_path, kind):
     got = {r["id"]: r["prediction"] for r in spark.read.parquet(out).collect()}
     assert spark.read.parquet(out).count() == 120
     assert got == {r["id"]: r["prediction"] for r in batch.collect()}
+
+
+def test_a_large_model_scores_batches_once(spark, articles, tmp_path):
+    fitted = ft.fit_features(articles, ft.FeatureSpec(vocab_size=30, min_df=2))
+    weights = fitted.vocabulary.table.select("idx", (F.col("idx") * 0.1 - 1).alias("coefficient"))
+    scorer = so.LinearScorer.build(fitted.vocabulary.table, weights, 0.25, fitted.spec, True)
+    large = replace(scorer, size=replace(scorer.size, rows=10**9))
+    docs = articles.select("id", "text")
+    with pytest.raises(ValueError, match="score_batches"):
+        stream.score_stream(docs, large)
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for part in (F.col("id") < 50, F.col("id") >= 50):
+        docs.filter(part).write.mode("append").parquet(inbox)
+        arriving = stream.read_stream(spark, inbox, "id bigint, text string")
+        stream.score_batches(arriving, large, out, mark).awaitTermination(120)
+
+    def rows(df):
+        return sorted((r["id"], r["text"], round(r["score"], 9), r["prediction"]) for r in df.collect())
+
+    want = rows(so.score_texts(clean_text(docs), scorer))
+    assert len(want) == 120 and rows(spark.read.parquet(out)) == want
+    # A batch that is run again replaces its rows.
+    again = so.score_texts(clean_text(docs.filter("id < 50")), large)
+    stream.write_batch(again, 0, out)
+    assert rows(spark.read.parquet(out)) == want
+
+
+def test_recent_copies_arrive_once(spark, tmp_path):
+    inbox, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    schema = "id bigint, text string, at timestamp"
+    batches = [
+        [(1, "a", "12:00"), (2, "b", "12:01"), (3, "a", "12:02")],
+        [(4, "b", "12:05"), (5, "c", "12:06"), (6, None, "12:06"), (7, None, "12:07")],
+        [(8, "a", "12:40")],  # moves the watermark on
+        [(9, "c", "12:41"), (10, "late", "12:00"), (11, "a", "12:42")],
+    ]
+    for rows in batches:  # every run starts anew from the checkpoint
+        full = [(i, t, f"2024-01-01 {at}:00") for i, t, at in rows]
+        new = spark.createDataFrame(full, "id bigint, text string, at string")
+        new.withColumn("at", F.to_timestamp("at")).coalesce(1).write.mode("append").parquet(inbox)
+        arriving = stream.read_stream(spark, inbox, schema)
+        kept = stream.dedup_stream(arriving, "at", "10 minutes")
+        stream.run_available(kept, out, mark).awaitTermination(120)
+    got = sorted(r["id"] for r in spark.read.parquet(out).collect())
+    # 8 still meets the state of 1; it moves the watermark on, so 9 and 11 meet none
+    # and 10 comes too late.
+    assert got == [1, 2, 5, 6, 9, 11]
