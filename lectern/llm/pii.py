@@ -1,12 +1,12 @@
 """Personal data by weak supervision, in column expressions only.
 
-Regular expressions propose spans.  Four labelers vote on each: its format, a
-gazetteer, the words before it, and its variety of characters.  Expectation-
-maximisation over the counts of vote patterns estimates how reliable each labeler
-is and how likely each pattern is to be personal data.  A naive Bayes classifier
-over kind, votes, length and neighbouring characters, trained on those
-probabilities, decides the spans.  Spans of the four base kinds that pass their
-check stay whatever it says.
+Regular expressions propose spans.  Four labelers vote on each or abstain: its
+format, a gazetteer, the words before it, and its variety of characters.
+Expectation-maximisation over the counts of vote patterns estimates for each kind
+how often a labeler that votes is right, about personal data and about other spans,
+and how likely each pattern is to be personal data.  A naive Bayes classifier over
+votes, length and neighbouring characters, trained on those probabilities, decides
+the spans.  Spans of the four base kinds that pass their check stay whatever it says.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.plans.storage import materialize
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "name", "id")
 
@@ -50,6 +52,14 @@ FIRST_NAMES = (
     "James Mary John Patricia Robert Jennifer Michael Linda David Elizabeth William Barbara Thomas "
     "Susan Anna Peter Maria Paul Laura Karl Hans Julia Jean Marie Pierre Sophie Carlos Carmen Juan Ana"
 ).split()
+FAMILY_NAMES = (
+    "Smith Johnson Williams Brown Jones Garcia Miller Davis Martinez Lopez Wilson Anderson Taylor Moore "
+    "Martin Lee Santos Silva Fernandez Gonzalez Rodriguez Perez Sanchez Mueller Schmidt Schneider Fischer "
+    "Weber Meyer Wagner Becker Hoffmann Dubois Durand Moreau Bernard Petit Rossi Russo"
+).split()
+NO_FAMILY_NAMES = "Street Road Avenue University College Hospital County Island River Lake Park House Company Bank".split()
+# Area numbers of no issued identity number.
+NO_AREAS = r"^(?:73[4-9]|74[0-9]|77[3-9]|[89][0-9]{2})"
 CUES = {
     "email": "e-?mail|contact|correo|courriel|write to",
     "ip": "\\bip\\b|address|host|server|client|login",
@@ -101,7 +111,7 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
 
 
 def _votes(kind: str, match: Column, left: Column) -> list[Column]:
-    first = F.substring_index(match, " ", 1)
+    family = F.substring_index(match, " ", -1)
     sure = F.lit(True)
     form = {
         "email": (match.rlike("^[^.].*@[^-].*[A-Za-z]$"), sure),
@@ -115,8 +125,9 @@ def _votes(kind: str, match: Column, left: Column) -> list[Column]:
         "card": (match.rlike(ISSUERS), sure),
         "phone": (match.rlike(COUNTRIES), sure),
         "secret": (match.rlike("^(?:AKIA|ghp_|gho_|sk-|sk_live_|xox[abp]-|AIza)"), None),
-        "name": (first.isin(FIRST_NAMES), None),
-        "id": (F.lit(False), None),
+        # Proposals rest on titles and first names, so the vote looks at the rest.
+        "name": (family.isin(FAMILY_NAMES), family.isin(NO_FAMILY_NAMES)),
+        "id": (~match.rlike(NO_AREAS), sure),
     }[kind]
     cue = (left.rlike(CUES[kind]), left.rlike(COUNTER_CUES))
     kinds_of_chars = F.size(F.array_distinct(F.split(F.lower(match), "")))
@@ -176,25 +187,23 @@ def candidates(text_col: str = "text") -> Column:
 
 @dataclass(frozen=True)
 class SpanModel:
-    """Log odds per kind, and per (kind, value) of every feature."""
+    """Log odds per (kind, value) of every feature.
+
+    ``reliability`` holds, by (kind, labeler) that has voted, how often its vote is
+    right about personal data and about other spans.
+    """
 
-    prior: dict[int, float]
     weights: dict[str, dict[tuple[int, int], float]]
-    reliability: dict[str, float]
+    reliability: dict[tuple[str, str], tuple[float, float]]
 
     def accepts(self, span: Column, least: float = 0.5) -> Column:
         """Whether the classifier, or the base rule, takes the span."""
-
-        def look(table: dict, key: Column) -> Column:
-            if not table:
-                return F.lit(0.0)
-            cells = [F.lit(x) for k, v in sorted(table.items()) for x in (k, v)]
-            return F.coalesce(F.element_at(F.create_map(*cells), key), F.lit(0.0))
-
-        odds = look(self.prior, span["kind"])
+        odds = F.lit(0.0)
         for name in FEATURES:
-            flat = {_flat(*k): v for k, v in self.weights.get(name, {}).items()}
-            odds = odds + look(flat, _flat(span["kind"], span[name]))
+            cells = [F.lit(x) for key, v in sorted(self.weights.get(name, {}).items()) for x in (_flat(*key), v)]
+            if cells:
+                found = F.element_at(F.create_map(*cells), _flat(span["kind"], span[name]))
+                odds = odds + F.coalesce(found, F.lit(0.0))
         return (span["kind"] < len(BASE)) | (odds >= math.log(least / (1 - least)))
 
 
@@ -202,52 +211,86 @@ def _flat(kind, value):
     return kind * 32 + value + 1
 
 
-def fit_spans(found: DataFrame, col: str = "found", rounds: int = 50) -> SpanModel:
-    """Train on the candidates of all rows.
+#: What is believed of a labeler before it has voted: so many votes, right and wrong.
+PRIOR_VOTES = (6.0, 2.0)
+#: Candidates' worth of belief that a feature tells nothing.
+PRIOR_SPANS = 4.0
 
-    Only the counts of distinct feature rows reach the driver: kinds, three values
-    per vote, ten sizes and four neighbours on each side bound their number.
+
+def estimated(counts: list[tuple], rounds: int = 50) -> tuple[dict, list[float]]:
+    """(votes right about personal data and about others by (kind, labeler), chance of each row).
+
+    ``counts`` has rows (kind, feature values, number), votes first.  Abstentions
+    tell nothing.  Candidates have no labels, so both outcomes start with even odds
+    and no labeler is ever quite sure.
     """
-    rows = found.select(F.explode(col).alias("s")).groupBy(F.col("s.kind"), *(f"s.{n}" for n in FEATURES))
-    counts = [(r["kind"], tuple(r[n] for n in FEATURES), r["n"]) for r in rows.agg(F.count("*").alias("n")).collect()]
-    votes = range(len(VOTES))
-    good = dict.fromkeys(votes, 0.8)
-    prior = dict.fromkeys(range(len(KINDS)), 0.5)
+    right, wrong = PRIOR_VOTES
+    start = right / (right + wrong)
+    kinds = {kind for kind, _, _ in counts}
+    rates = {(kind, j): (start, start) for kind in kinds for j in range(len(VOTES))}
 
     def chance(kind: int, cells: tuple[int, ...]) -> float:
-        odds = math.log(prior[kind] / (1 - prior[kind]))
-        odds += sum(cells[j] * math.log(good[j] / (1 - good[j])) for j in votes)
+        odds = 0.0
+        for j in range(len(VOTES)):
+            yes, no = rates[kind, j]
+            if cells[j]:
+                odds += math.log(yes / (1 - no)) if cells[j] > 0 else math.log((1 - yes) / no)
         return 1 / (1 + math.exp(-odds))
 
     for _ in range(rounds):
-        believed = [(kind, cells, n, chance(kind, cells)) for kind, cells, n in counts]
-        for j in votes:
-            cast = sum(n for _, cells, n, _ in believed if cells[j])
-            right = sum(n * (p if cells[j] > 0 else 1 - p) for _, cells, n, p in believed if cells[j])
-            # A labeler is taken to be better than chance, and never quite sure.
-            good[j] = min(0.95, max(0.55, (right + 8) / (cast + 10)))
-        for kind in prior:
-            n = sum(n for k, _, n, _ in believed if k == kind)
-            prior[kind] = min(0.95, max(0.05, (sum(n * p for k, _, n, p in believed if k == kind) + 1) / (n + 2)))
-
-    believed = [(kind, cells, n, chance(kind, cells)) for kind, cells, n in counts]
-    mass = {kind: [2.0, 2.0] for kind in prior}
-    for kind, _, n, p in believed:
-        mass[kind][0] += n * p
-        mass[kind][1] += n * (1 - p)
-    weights: dict[str, dict[tuple[int, int], float]] = {}
-    for j, name in enumerate(FEATURES):
-        cells_of: dict[tuple[int, int], list[float]] = {}
-        for kind, cells, n, p in believed:
-            cell = cells_of.setdefault((kind, cells[j]), [1.0, 1.0])
+        chances = [chance(kind, cells) for kind, cells, _ in counts]
+        seen = {key: [right, right + wrong, right, right + wrong] for key in rates}
+        for (kind, cells, n), p in zip(counts, chances, strict=True):
+            for j in range(len(VOTES)):
+                if cells[j]:
+                    cell = seen[kind, j]
+                    cell[0] += n * p * (cells[j] > 0)
+                    cell[1] += n * p
+                    cell[2] += n * (1 - p) * (cells[j] < 0)
+                    cell[3] += n * (1 - p)
+        rates = {key: (a / b, c / d) for key, (a, b, c, d) in seen.items()}
+    return rates, [chance(kind, cells) for kind, cells, _ in counts]
+
+
+def classifier(counts: list[tuple], rates: dict, chances: list[float]) -> SpanModel:
+    """Naive Bayes from the chances of the counted feature rows.
+
+    Each class is drawn towards the share a value has among all candidates of its
+    kind, so that a value neither class has seen much of tells little.
+    """
+    weights: dict[str, dict[tuple[int, int], float]] = {name: {} for name in FEATURES}
+    for (kind, j), (yes, no) in rates.items():
+        weights[VOTES[j]][kind, 1] = math.log(yes / (1 - no))
+        weights[VOTES[j]][kind, -1] = math.log((1 - yes) / no)
+    mass: dict[int, list[float]] = {}
+    for (kind, _, n), p in zip(counts, chances, strict=True):
+        both = mass.setdefault(kind, [0.0, 0.0])
+        both[0] += n * p
+        both[1] += n * (1 - p)
+    for j in range(len(VOTES), len(FEATURES)):
+        held: dict[tuple[int, int], list[float]] = {}
+        for (kind, cells, n), p in zip(counts, chances, strict=True):
+            cell = held.setdefault((kind, cells[j]), [0.0, 0.0])
             cell[0] += n * p
             cell[1] += n * (1 - p)
-        weights[name] = {
-            key: math.log(yes / mass[key[0]][0]) - math.log(no / mass[key[0]][1])
-            for key, (yes, no) in cells_of.items()
-        }
-    odds = {kind: math.log(yes / no) for kind, (yes, no) in mass.items()}
-    return SpanModel(odds, weights, {VOTES[j]: good[j] for j in votes})
+        for (kind, value), cell in held.items():
+            share = sum(cell) / sum(mass[kind])
+            yes, no = ((x + PRIOR_SPANS * share) / (m + PRIOR_SPANS) for x, m in zip(cell, mass[kind], strict=True))
+            weights[FEATURES[j]][kind, value] = math.log(yes / no)
+    voted = {(kind, j) for kind, cells, _ in counts for j in range(len(VOTES)) if cells[j]}
+    return SpanModel(weights, {(KINDS[k], VOTES[j]): r for (k, j), r in rates.items() if (k, j) in voted})
+
+
+def fit_spans(found: DataFrame, col: str = "found", rounds: int = 50) -> SpanModel:
+    """Train on the candidates of all rows.
+
+    Only the counts of distinct feature rows reach the driver: kinds, three values
+    per vote, ten sizes and four neighbours on each side bound their number.
+    """
+    rows = found.select(F.explode(col).alias("s")).groupBy(F.col("s.kind"), *(f"s.{n}" for n in FEATURES))
+    counts = [(r["kind"], tuple(r[n] for n in FEATURES), r["n"]) for r in rows.agg(F.count("*").alias("n")).collect()]
+    counts.sort()
+    return classifier(counts, *estimated(counts, rounds))
 
 
 def _joined(spans: Column) -> Column:
@@ -257,7 +300,7 @@ def _joined(spans: Column) -> Column:
 
 
 def personal_data(found: DataFrame, model: SpanModel) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans from ``found(doc_id, found)``."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans from ``found(doc_id, found)``."""
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
     spans = F.filter("found", lambda s: model.accepts(s))
     number = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("bigint")
@@ -266,6 +309,7 @@ def personal_data(found: DataFrame, model: SpanModel) -> DataFrame:
         *(number(k).alias(f"n_{kind}") for k, kind in enumerate(BASE)),
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(spans).alias("spans"),
+        F.size(spans).cast("bigint").alias("n_spans"),
     )
 
 
@@ -287,12 +331,13 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """The documents, all rows and columns, with personal data replaced by its kind.
 
-    Null and empty texts stay as they are.  ``length_col``, if there, follows.
+    Null and empty texts stay as they are.  ``length_col``, if there, follows.  The
+    candidates are found once and written with their rows.
     """
     mark = "__found"
     while mark in docs.columns:
         mark += "_"
-    found = docs.withColumn(mark, candidates(text_col))
+    found = materialize(docs.withColumn(mark, candidates(text_col)), "candidates")
     model = fit_spans(found.select(mark), mark)
     text = F.col(text_col)
     out = found.withColumn(mark, F.filter(mark, lambda s: model.accepts(s))).withColumn(text_col, redacted(text, F.col(mark)))
