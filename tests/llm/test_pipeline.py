@@ -32,7 +32,7 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_keep_the_columns(spark, docs_of, tmp_path):
