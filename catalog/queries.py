@@ -21,9 +21,10 @@ from lectern.operators import importance as im
 from lectern.operators import models as md
 from lectern.operators import sampling as sm
 from lectern.operators import scoring as so
+from lectern.operators import trees as tr
 from lectern.plans import presets as ps
 from lectern.plans import runs
-from lectern.plans.storage import MAX_LOOKUP_BYTES, fresh_path
+from lectern.plans.storage import MAX_LOOKUP_BYTES, fresh_path, materialize
 from lectern.sources import artifacts as af
 from lectern.sources import readers as rd
 from lectern.sources import schema as sh
@@ -542,9 +543,9 @@ def score_model(spark, sf):
     return _agreement(by_model, by_tables.drop("score").withColumnRenamed("probability", "score"))
 
 
-def _scorer(run: runs.Run, logistic: bool) -> so.LinearScorer:
-    """The tables of the first model of a run."""
-    trained, vocabulary = run.trained[0], run.features.vocabulary
+def _scorer(run: runs.Run, logistic: bool, trained: md.Trained | None = None) -> so.LinearScorer:
+    """The tables of a model, the first of the run unless one is named."""
+    trained, vocabulary = trained or run.trained[0], run.features.vocabulary
     weights = md.linear_weights(trained.model, trained.name, vocabulary).filter("idx >= 0")
     return so.LinearScorer.build(
         vocabulary.table, weights, float(trained.model.intercept), run.features.spec, logistic,
@@ -583,6 +584,74 @@ def linearsvc_agreement(spark, sf):
     return _scored_both_ways(spark, sf, "linearsvc", False)
 
 
+@query
+def grid_comparison(spark, sf):
+    """Three penalties of one model: test counts of each, and whether the weights of
+    the marked one minimise its own loss on the training rows."""
+    run = _run(spark, sf)
+    rows = md.as_training_rows(run.features.transform(run.documents), "id", "split")
+    rows = materialize(rows, "features", ["split"])
+    train, test = (rows.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+    spec = md.ModelSpec("logreg", {"maxIter": 100, "tol": 1e-9})
+    grid = md.fit_grid(train, test, spec, [{"regParam": p} for p in (0.05, 0.1, 0.5)])
+    table = materialize(md.grid_table(grid, test), "grid")
+    best = grid[table.filter("best").first()["model"]]
+    (optimum,) = _slopes(run, best).agg((F.max("slope") < 1e-4).alias("at_optimum")).collect()
+    n_best = table.agg(F.count_if("best")).first()[0]
+    return _test_counts(table).withColumns(
+        {"best_at_optimum": F.lit(optimum["at_optimum"]), "n_best": F.lit(n_best)}
+    )
+
+
+@query
+def report_history(spark, sf):
+    """Metrics of two runs, one of them recorded twice, read back from their table."""
+    scored = _predictions(spark, sf)
+    folder = fresh_path(spark, "reports")
+    for run_id, threshold in (("2", 0.9), ("10", 0.5), ("2", 0.3)):
+        rows = ev.metrics_at_thresholds(scored, (threshold,), "probability")
+        sinks.record_report(rows, folder, run_id)
+    return rounded(rd.read_reports(spark, folder), *METRICS)
+
+
+def _scored_by_trees(spark, sf, name: str) -> DataFrame:
+    run = _run(spark, sf, name)
+    model = run.trained[0].model
+    docs = cl.clean_text(tb.unlabelled(spark, sf)).select("id", "text")
+    by_model = model.transform(run.features.transform(docs)).withColumn(
+        "score", vector_to_array("rawPrediction")[1]
+    )
+    ensemble = tr.Ensemble.build(tr.node_table(model))
+    return _agreement(by_model, tr.score_by_trees(docs, run.features, ensemble))
+
+
+@query
+def forest_agreement(spark, sf):
+    """A trained forest and its node table score every document alike."""
+    return _scored_by_trees(spark, sf, "randomforest")
+
+
+@query
+def gbt_agreement(spark, sf):
+    return _scored_by_trees(spark, sf, "gbt")
+
+
+@query
+def score_trees(spark, sf):
+    """Unlabelled documents scored from a node table that SQL can repeat."""
+    fitted, ensemble = tb.demo_trees(spark, sf)
+    docs = cl.clean_text(tb.unlabelled(spark, sf)).select("id", "text")
+    scored = tr.score_by_trees(docs, fitted, ensemble).select("id", "score", "probability")
+    return rounded(scored, "score", "probability")
+
+
+@query
+def tree_nodes(spark, sf):
+    """The node table of the same trees."""
+    _, ensemble = tb.demo_trees(spark, sf)
+    return rounded(ensemble.table.select("tree", "node", "idx", "left", "right", "for_1"), "for_1")
+
+
 @query
 def linear_weights(spark, sf):
     """Sizes of the weight table: one row per word of the vocabulary, one intercept."""
@@ -603,12 +672,19 @@ def logreg_optimum(spark, sf):
     """
     spec = md.ModelSpec("logreg", {"maxIter": 100, "regParam": 0.1, "tol": 1e-9})
     run = runs.train(tb.corpus(spark, sf), ps.Preset(features=tb.CHECK_SPEC, models=(spec,)))
-    vocabulary = run.features.vocabulary
-    weights = md.linear_weights(run.trained[0].model, "logreg", vocabulary)
+    return _slopes(run, run.trained[0]).agg(
+        F.count(F.lit(1)).alias("n_weights"), (F.max("slope") < 1e-4).alias("at_optimum")
+    )
+
+
+def _slopes(run: runs.Run, trained: md.Trained) -> DataFrame:
+    """Of each weight of a logistic model, the size of the derivative of its loss."""
+    vocabulary, penalty = run.features.vocabulary, trained.spec.params["regParam"]
+    weights = md.linear_weights(trained.model, "logreg", vocabulary)
     train = run.documents.filter(F.col("split") == "train")
     n = float(vocabulary.n_docs)
     # The features of a row, and its error by the tables.
-    scored = so.score_texts(train, _scorer(run, True)).select(
+    scored = so.score_texts(train, _scorer(run, True, trained)).select(
         "_row", (F.col("probability") - F.col("label")).alias("error")
     )
     cells = run.features.transform(train).select(
@@ -620,12 +696,10 @@ def logreg_optimum(spark, sf):
     )
     deviation = F.sqrt((F.col("two") - F.col("one") * F.col("one") / n) / (n - 1))
     slopes = weights.join(sums, "idx").select(
-        F.abs(F.col("slope") / n / deviation + 0.1 * deviation * F.col("coefficient")).alias("slope")
+        F.abs(F.col("slope") / n / deviation + penalty * deviation * F.col("coefficient")).alias("slope")
     )
     intercept = scored.agg(F.abs(F.sum("error") / n).alias("slope"))
-    return slopes.unionByName(intercept).agg(
-        F.count(F.lit(1)).alias("n_weights"), (F.max("slope") < 1e-4).alias("at_optimum")
-    )
+    return slopes.unionByName(intercept)
 
 
 @query

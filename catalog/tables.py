@@ -12,6 +12,7 @@ from lectern.operators import clean as cl
 from lectern.operators import sampling as sm
 from lectern.operators.features import FeatureSpec, FittedFeatures, fit_features, term_entries
 from lectern.operators.scoring import LinearScorer
+from lectern.operators.trees import Ensemble, node_id, walk
 from lectern.plans.storage import materialize, spread
 from lectern.sources.schema import normalize_schema
 
@@ -103,6 +104,45 @@ class Demo:
         return a.unionByName(b)
 
 
+DEMO_TREES = 20
+
+
+def demo_trees(spark: SparkSession, sf_dir: str) -> tuple[FittedFeatures, Ensemble]:
+    """Trees that SQL can repeat: each asks for one word, then for one of two others.
+
+    Tree t splits on the words 3t, 3t + 1 (where the first is absent) and 3t + 2; a leaf
+    votes by the smoothed class shares of the training rows that reach it.
+    """
+    docs, fitted = fit_train(spark, sf_dir)
+    # Numbers of the nodes: a root 0, its children 1 and 4, and two leaves below each.
+    tree, place = F.floor(F.col("idx") / 3).cast("int"), F.pmod("idx", F.lit(3))
+    number = F.when(place == 0, 0).when(place == 1, 1).otherwise(4)
+    right = F.when(place == 0, 4).otherwise(number + 2)
+    whole = fitted.vocabulary.table.filter(F.col("idx") < 3 * DEMO_TREES)
+    splits = whole.select(
+        tree.alias("tree"), node_id(tree, number).alias("node"), "idx", F.lit(0.0).alias("threshold"),
+        node_id(tree, number + 1).alias("left"), node_id(tree, right).alias("right"),
+    )
+    leaves = splits.filter(F.pmod("idx", F.lit(3)) > 0).select("tree", F.explode(F.array("left", "right")).alias("node"))
+
+    def table(for_0, for_1, rows):
+        return rows.select(
+            "*", for_0.alias("for_0"), for_1.alias("for_1"), F.lit(2).alias("levels"), F.lit(False).alias("boosted")
+        )
+
+    none = F.lit(None).cast("double")
+    grown = table(none, none, splits)
+    bare = materialize(grown.unionByName(table(F.lit(0.5), F.lit(0.5), leaves), allowMissingColumns=True), "nodes")
+    train = fitted.transform(docs.filter(F.col("split") == "train"))
+    reached = walk(train, Ensemble.build(bare), "label", "id")
+    held = reached.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("real"))
+    n, real = (F.coalesce(F.col(c), F.lit(0)) for c in ("n", "real"))
+    voting = leaves.join(held, "node", "left").select("tree", "node", n.alias("n"), real.alias("real"))
+    share = (F.col("real") + 1.0) / (F.col("n") + 2.0)
+    voting = table(1.0 - share, share, voting).drop("n", "real")
+    return fitted, Ensemble.build(materialize(grown.unionByName(voting, allowMissingColumns=True), "nodes"))
+
+
 def split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(sm.assign_split(prepared(spark, sf_dir)), "documents")
 

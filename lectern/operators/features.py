@@ -225,7 +225,11 @@ def fit_features(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FittedFeat
     A vocabulary beyond the lookup bounds is never collected: documents then meet it
     in a join.
     """
-    vocabulary = fit_vocabulary(df, spec)
+    return with_stages(spec, fit_vocabulary(df, spec))
+
+
+def with_stages(spec: FeatureSpec, vocabulary: Vocabulary) -> FittedFeatures:
+    """Features over a fitted vocabulary, with stages if tasks may hold it."""
     if not vocabulary.size.small:
         return FittedFeatures(spec, vocabulary, None)
     stages = counting_stages(vocabulary.words, spec)

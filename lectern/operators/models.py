@@ -96,19 +96,69 @@ def fit_models(
     if known, sizes the tasks of the linear models.
     """
     check_specs(specs)
-
-    def scored(model: Model, rows: DataFrame) -> DataFrame:
-        return model.transform(rows).withColumn("score", vector_to_array("rawPrediction")[1])
-
     results = []
     for spec in specs:
         began = time.perf_counter()
         model = spec.estimator().fit(_fewer_tasks(train, spec, n_rows))
         seconds = time.perf_counter() - began
-        results.append(Trained(spec, model, scored(model, test), seconds, scored(model, train)))
+        results.append(Trained(spec, model, _scored(model, test), seconds, _scored(model, train)))
     return results
 
 
+def _scored(model: Model, rows: DataFrame) -> DataFrame:
+    return model.transform(rows).withColumn("score", vector_to_array("rawPrediction")[1])
+
+
+def fit_grid(
+    train: DataFrame, test: DataFrame, spec: ModelSpec, grid: Sequence[Mapping[str, object]]
+) -> dict[str, Trained]:
+    """Fit one kind of model under each set of parameters of ``grid``, over those of
+    ``spec``: name of the set -> trained.
+
+    All fits read the same written features.  Sets that repeat are fitted once.
+    """
+    check_specs([spec])
+    sets = {grid_name(spec.name, params): dict(params) for params in grid}
+    estimator = spec.estimator()
+    unknown = sorted({p for params in sets.values() for p in params if not estimator.hasParam(p)})
+    if unknown:
+        raise ValueError(f"{spec.name} has no parameters {unknown}")
+    maps = [{estimator.getParam(p): value for p, value in params.items()} for params in sets.values()]
+    found: dict[str, Trained] = {}
+    began = time.perf_counter()
+    names = list(sets)
+    for i, model in estimator.fitMultiple(train, maps):
+        seconds, began = time.perf_counter() - began, time.perf_counter()
+        own = ModelSpec(spec.name, {**spec.params, **sets[names[i]]})
+        found[names[i]] = Trained(own, model, _scored(model, test), seconds, _scored(model, train))
+    return {name: found[name] for name in names}
+
+
+def grid_name(model: str, params: Mapping[str, object]) -> str:
+    return f"{model}({', '.join(f'{p}={params[p]}' for p in sorted(params))})"
+
+
+def grid_table(grid: Mapping[str, Trained], test_rows: DataFrame, metric: str = "f1") -> DataFrame:
+    """Metrics of every set of parameters from one aggregation over one scan of the test
+    rows, which pass through the models side by side; ``best`` marks the largest
+    ``metric``, the first of the grid on ties."""
+    cells = test_rows
+    for i, trained in enumerate(grid.values()):
+        own = {"predictionCol": f"_p{i}", "rawPredictionCol": f"_raw{i}"}
+        if trained.model.hasParam("probabilityCol"):
+            own["probabilityCol"] = f"_prob{i}"
+        model = trained.model.copy({trained.model.getParam(p): v for p, v in own.items()})
+        cells = model.transform(cells)
+    sets = F.array(
+        *(F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction")) for i, name in enumerate(grid))
+    )
+    table = classification_metrics(cells.select("label", F.inline(sets)), "model")
+    place = F.element_at(F.create_map(*(x for i, name in enumerate(grid) for x in (F.lit(name), F.lit(i)))), F.col("model"))
+    first = table.agg(F.max(F.struct(F.col(metric), (-place).alias("place"))).alias("best")).first()["best"]
+    best = list(grid)[-first["place"]] if first else None
+    return table.withColumn("best", F.col("model") == F.lit(best))
+
+
 def _by_model(parts: dict[str, DataFrame], *columns: str) -> DataFrame:
     named = [df.select(F.lit(name).alias("model"), *columns) for name, df in parts.items()]
     return reduce(DataFrame.unionByName, named)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
@@ -19,10 +21,11 @@ from lectern.operators import sampling as sm
 from lectern.operators.explore import require_both_classes
 from lectern.operators.features import FeatureSpec, FittedFeatures, fit_features
 from lectern.operators.scoring import score_texts
+from lectern.operators.trees import node_table, score_by_trees
 from lectern.plans import presets as ps
 from lectern.plans.storage import materialize
 from lectern.sources import sinks
-from lectern.sources.artifacts import load_scorer
+from lectern.sources.artifacts import load_ensemble, load_features, load_scorer
 from lectern.sources.readers import load_corpus
 from lectern.sources.schema import drop_invalid
 
@@ -74,8 +77,12 @@ def prepare(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Dat
     elif preset.clean:
         docs = cl.clean_and_dedup(docs, preset.min_text_length, key)
     docs = docs.withColumn("id", tx.content_hash(F.col("text")) if key is None else F.col(key))
-    docs = sm.assign_split(docs, seed=preset.seed)
-    if preset.sample_fraction is None and preset.sample_rows is None:
+    return _sampled(sm.assign_split(docs, seed=preset.seed), preset)
+
+
+def _sampled(docs: DataFrame, preset: ps.Preset) -> DataFrame:
+    """All test rows, and those of the training rows that the preset takes."""
+    if not _samples(preset):
         return docs
     # The split looks at the same draw, so the sample takes another.
     fit, draw = docs.filter(F.col("split") == "train"), preset.seed + 1
@@ -86,6 +93,10 @@ def prepare(corpus: DataFrame, preset: ps.Preset, key: str | None = "id") -> Dat
     return fit.unionByName(docs.filter(F.col("split") != "train"))
 
 
+def _samples(preset: ps.Preset) -> bool:
+    return preset.sample_fraction is not None or preset.sample_rows is not None
+
+
 def exploration_frame(spark: SparkSession, folder: str, key: str | None = None) -> DataFrame:
     """Loaded, labelled, cleaned and de-duplicated corpus of a dataset folder.
     Persist it yourself if several queries follow."""
@@ -102,13 +113,19 @@ def train(
     costs the tasks they ran, not the plan before them.
 
     The rows of both splits are counted per label.  ``account`` adds the rows
-    before and after cleaning; that reads and cleans the corpus once more.
+    before and after cleaning: a count of the source, and one of the cleaned documents
+    as they were written, so that no text is cleaned twice.  A preset that samples has
+    them written before the sample is drawn, which reads them more than once.
     Documents are numbered when written (``_row``), so that rows of one id stay apart.
     """
     md.check_specs(preset.models)
     seconds: dict[str, float] = {}
     with _timed(seconds, "clean"):
-        docs = prepare(corpus, preset, key)
+        whole = replace(preset, sample_fraction=None, sample_rows=None)
+        docs = cleaned = prepare(corpus, whole, key)
+        if _samples(preset):
+            cleaned = materialize(docs, "cleaned")
+            docs = _sampled(cleaned, preset)
         docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
         train_docs = require_both_classes(docs.filter(F.col("split") == "train"))
     with _timed(seconds, "features"):
@@ -122,8 +139,14 @@ def train(
         )
     run = Run(fitted, docs, trained, seconds, split_counts(docs))
     if account:
-        report = cl.clean_report(corpus, preset.min_text_length) if preset.clean else None
-        run.dataset |= report.first().asDict() if report else {"rows_before": corpus.count()}
+        run.dataset["rows_before"] = corpus.count()
+    if account and preset.clean:
+        after = (cleaned if _samples(preset) else docs).count()  # written: read from the footers
+        before = run.dataset["rows_before"]
+        run.dataset |= {
+            "rows_after": after, "dropped": before - after,
+            "min_text_length": preset.min_text_length, "dedup": True,
+        }
     return run
 
 
@@ -155,9 +178,21 @@ def sample_predictions(run: Run, model: md.Trained, k: int = 200) -> DataFrame:
     return md.prediction_sample(_with_text(run, first, "text"), k)
 
 
-def save_run(run: Run, folder: str, run_id: str = "run") -> dict:
-    """Write every artefact and report of a run; returns the report."""
+def new_run_id() -> str:
+    """The time in UTC, which sorts by itself, and some letters that tell runs of one
+    second apart."""
+    return f"{time.strftime('%Y%m%dT%H%M%SZ', time.gmtime())}-{uuid.uuid4().hex[:6]}"
+
+
+def save_run(run: Run, folder: str, run_id: str | None = None) -> dict:
+    """Write every artefact and report of a run; returns the report.
+
+    Artefacts are those of the latest run.  Reports stay: each run has a name of its own
+    unless it is given one, and adds its rows to the tables ``comparisons`` and ``runs``
+    (``read_reports``), where a run of the same name replaces only itself.
+    """
     spark = run.documents.sparkSession
+    run_id = run_id or new_run_id()
     sinks.save_features(run.features, f"{folder}/feature_artifacts")
     for model, row in zip(run.trained, run.metrics):
         name = model.name
@@ -170,11 +205,14 @@ def save_run(run: Run, folder: str, run_id: str = "run") -> dict:
             importances = md.tree_importances(model.model, name, run.features.vocabulary)
             params = md.model_params(spark, model.model, name)
             sinks.save_importances(importances, params, f"{folder}/tree_artifacts", name)
+            sinks.save_trees(node_table(model.model), f"{folder}/tree_artifacts", name)
             sample = sample_predictions(run, model)
             sinks.write_prediction_sample(sample, f"{folder}/predictions", name)
     fit_seconds = run.seconds.get("features", 0.0)
     rows = [{**row, "features_fit_seconds": fit_seconds} for row in run.metrics]
-    sinks.write_comparison(spark.createDataFrame(rows), folder, run_id)
+    comparison = spark.createDataFrame(rows)
+    sinks.write_comparison(comparison, folder, run_id)
+    sinks.record_report(comparison, f"{folder}/comparisons", run_id)
     report = {
         "run_id": run_id,
         "spark_conf": {name: spark.conf.get(name, None) for name in REPORTED_CONF},
@@ -185,6 +223,8 @@ def save_run(run: Run, folder: str, run_id: str = "run") -> dict:
         "models": {row["model"]: row for row in run.metrics},
     }
     sinks.write_run_report(spark, report, f"{folder}/run_report")
+    rows = spark.createDataFrame([(json.dumps(report),)], "report string")
+    sinks.record_report(rows, f"{folder}/runs", run_id)
     return report
 
 
@@ -219,9 +259,11 @@ def train_hashed(
     return fitted, {**metrics, **counts, "debug_rows": debug_rows, "num_features": num_features}
 
 
-def save_hashed(fitted: PipelineModel, report: dict, folder: str, run_id: str = "run") -> str:
-    """Write the fitted stages and the report of a hashed run."""
-    name = report["model"]
+def save_hashed(
+    fitted: PipelineModel, report: dict, folder: str, run_id: str | None = None
+) -> str:
+    """Write the fitted stages and the report of a hashed run, under a name of its own."""
+    name, run_id = report["model"], run_id or new_run_id()
     sinks.save_model(fitted, f"{folder}/models", f"{name}_hashed")
     spark = SparkSession.active()
     return sinks.write_run_report(spark, report, f"{folder}/{name}_{run_id}")
@@ -230,12 +272,17 @@ def save_hashed(fitted: PipelineModel, report: dict, folder: str, run_id: str =
 def score_saved(
     docs: DataFrame, folder: str, model: str, threshold: float | None = None, clean: bool = True
 ) -> DataFrame:
-    """Score texts with a saved linear model, prepared as the training texts were."""
+    """Score texts with a saved model, linear or of trees, prepared as the training
+    texts were."""
     spark = docs.sparkSession
+    if clean:
+        docs = docs.withColumn("text", tx.clean_body(F.col("text")))
+    if model not in md.LINEAR_MODELS:
+        features = load_features(spark, f"{folder}/feature_artifacts")
+        ensemble = load_ensemble(spark, f"{folder}/tree_artifacts/{model}_nodes")
+        return score_by_trees(docs, features, ensemble, threshold)
     scorer = load_scorer(
         spark, f"{folder}/feature_artifacts", f"{folder}/model_weights/{model}_weights",
         logistic=(model == "logreg"), threshold=threshold,
     )
-    if clean:
-        docs = docs.withColumn("text", tx.clean_body(F.col("text")))
     return score_texts(docs, scorer)

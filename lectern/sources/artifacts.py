@@ -8,9 +8,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators.features import FeatureSpec
+from lectern.operators.features import FeatureSpec, FittedFeatures, Vocabulary, with_stages
 from lectern.operators.scoring import LinearScorer, require_consistent
-from lectern.plans.storage import materialize
+from lectern.operators.trees import Ensemble
+from lectern.plans.storage import materialize, measure_lookup
 
 
 def _document(spark: SparkSession, path: str) -> DataFrame:
@@ -150,3 +151,15 @@ def load_scorer(
         vocabulary, weights, float(intercept["coefficient"]), load_spec(spark, features_folder),
         logistic, threshold,
     )
+
+
+def load_features(spark: SparkSession, folder: str) -> FittedFeatures:
+    """Saved features: the vocabulary table and the settings, whatever its size."""
+    table = spark.read.parquet(f"{folder}/vocabulary")
+    n_docs = spark.read.json(f"{folder}/meta").first()["n_docs"]
+    return with_stages(load_spec(spark, folder), Vocabulary(table, n_docs, measure_lookup(table, "word")))
+
+
+def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
+    """A saved node table, measured and checked."""
+    return Ensemble.build(spark.read.parquet(path))

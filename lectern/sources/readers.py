@@ -69,3 +69,15 @@ def read_scoring_csv(
 def literal_text(spark: SparkSession, *texts: str) -> DataFrame:
     """A few given texts as scoring input, numbered from 0."""
     return spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+
+
+def read_reports(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
+    """The reports recorded in a folder, a row per model and run; ``run_id`` is text
+    whatever it looks like."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    # Partition values are typed by the reader's guess unless the schema names them.
+    found = reader.json(folder)
+    if dict(found.dtypes).get("run_id") == "string":
+        return found
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields if f.name != "run_id"]
+    return spark.read.schema(", ".join([*fields, "run_id string"])).json(folder)

@@ -50,6 +50,18 @@ def write_comparison(rows: DataFrame, folder: str, run_id: str) -> tuple[str, st
     return json_path, csv_path
 
 
+def record_report(rows: DataFrame, folder: str, run_id: str) -> str:
+    """Add the rows of a run to a table of reports, partitioned by run.
+
+    A run that is recorded again replaces its own rows and no others.  Fields may differ
+    between runs: rows are JSON, and a reader sees null where a run has none.
+    """
+    rows = rows.drop("run_id").withColumn("run_id", F.lit(run_id)).coalesce(1)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").json(folder)
+    return folder
+
+
 def write_run_report(spark: SparkSession, report: dict, path: str) -> str:
     """A nested report as one JSON document."""
     line = spark.createDataFrame([(json.dumps(report),)], "value string")
@@ -97,6 +109,12 @@ def save_importances(importances: DataFrame, params: DataFrame, folder: str, mod
     return f"{folder}/{model}_importances"
 
 
+def save_trees(nodes: DataFrame, folder: str, model: str) -> str:
+    """The node table of a tree model: all that scoring needs of it."""
+    nodes.write.mode("overwrite").parquet(f"{folder}/{model}_nodes")
+    return f"{folder}/{model}_nodes"
+
+
 def save_model(model: Model, folder: str, name: str) -> str:
     model.write().overwrite().save(f"{folder}/{name}")
     return f"{folder}/{name}"
