@@ -86,6 +86,16 @@ def largest(df: DataFrame, column: str, ties_by: Sequence[Column | str], k: int)
     return more.unionByName(ties)
 
 
+def first_by_hash(ids: DataFrame, key: str, k: int) -> DataFrame:
+    """The k rows whose ``key`` hashes lowest, ties by key: a bounded sample of distinct
+    keys that does not depend on partitioning and is drawn in no single task."""
+    marked = ids.withColumn("_hash", F.xxhash64(key))
+    # 53 bits, falling as the hash rises: differences of these do not overflow.
+    marked = marked.withColumn("_order", F.bitwise_not(F.shiftright("_hash", 11)))
+    chosen = largest(materialize(marked, "hashed"), "_order", ["_hash", key], k)
+    return chosen.drop("_hash", "_order")
+
+
 def _ordered_parts(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """``df`` in written ranges of the order, with the range (_part) and the place in it (_at).
 

@@ -103,3 +103,11 @@ def test_very_many_random_rows(spark, monkeypatch):
     assert many.columns == df.columns and ranked(many) == ranked(few)
     assert sm.random_rows(df, 5000).count() == 3000
     assert "TakeOrdered" not in many._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("k", [0, 1, 300, 1000, 5000])
+def test_first_by_hash_equals_an_ordered_limit(spark, k):
+    ids = spark.range(1000).withColumn("n", F.col("id") % 7)
+    want = ids.orderBy(F.xxhash64("id"), "id").limit(k).collect()
+    got = rk.first_by_hash(ids.repartition(5), "id", k).collect()
+    assert sorted(got) == sorted(want)
