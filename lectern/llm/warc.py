@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.plans.storage import fresh_path, materialize
+from lectern.plans.storage import fresh_path, lookup_join, materialize, measure_lookup
 
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1000
@@ -152,7 +152,10 @@ def with_originals(pages: DataFrame, payload: Column, min_bytes: int = 0) -> Dat
     Payloads of fewer than ``min_bytes`` refer to nothing.  Rows that repeat the
     largest id stay responses, as do rows with a null id; where all ids of a
     payload are null, none refers to another.  Only the digests are grouped, with
-    one row per digest and task.
+    one row per digest and task.  Those that occur more than once are written and
+    measured: within the lookup bounds they are broadcast and no payload is moved;
+    beyond, rows meet them over salts, so that a digest of very many pages (those
+    without html, say) is spread over tasks.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -163,8 +166,11 @@ def with_originals(pages: DataFrame, payload: Column, min_bytes: int = 0) -> Dat
         .filter((F.col("n") > 1) & F.col("original").isNotNull())
         .select("digest", "original")
     )
+    last = materialize(last, "originals")
+    size = measure_lookup(last, "digest")
     refers = F.when(F.col("page_id") != F.col("original"), F.col("original"))
-    return rows.join(last, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    marked = lookup_join(rows, last, "digest", size, "left", spread_by=("page_id", "url"))
+    return marked.select("page_id", "url", "payload", refers.alias("refers_to"))
 
 
 def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:

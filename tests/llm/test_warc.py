@@ -3,8 +3,10 @@ import hashlib
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import warc
+from lectern.plans import storage
 from lectern.plans.storage import fresh_path
 
 PAGES = [
@@ -78,6 +80,32 @@ def test_lookups(spark, shard_rows, block_lines):
     assert found(ask([])) == []
 
 
+def test_originals_beyond_the_bounds_of_a_broadcast(spark, monkeypatch):
+    rows = [(i, f"http://a.org/{i}", None if i % 3 == 0 else f"page {i % 50}") for i in range(600)]
+    rows += [(None, "http://a.org/n", "page 1"), (599, "http://a.org/r", "page 49"), (None, "http://a.org/z", "alone")]
+    pages = pages_of(spark, rows).repartition(6)
+    payload = F.coalesce(pages.html.cast("binary"), F.lit(b""))
+    near = warc.with_originals(pages, payload)
+    monkeypatch.setattr(storage, "MAX_LOOKUP_ROWS", 3)
+    far = warc.with_originals(pages, payload)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert "_salt" not in plan and "_salt" in far._jdf.queryExecution().executedPlan().toString()
+    names = ("page_id", "url", "payload", "refers_to")
+    got = [sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr) for df in (near, far)]
+    assert got[0] == got[1]
+    last = {}
+    for i, _, html in rows:
+        if i is not None:
+            last[html] = max(i, last.get(html, i))
+    twice = {h for h in last if sum(r[2] == h for r in rows) > 1}
+    want = [
+        (i, u, (h or "").encode(), last[h] if h in twice and i is not None and i != last[h] else None)
+        for i, u, h in rows
+    ]
+    assert got[0] == sorted(((i, u, bytearray(p), r) for i, u, p, r in want), key=repr)
+
+
 def test_archives_are_members_of_gzip(spark):
     pages = pages_of(spark, PAGES[:3])
     captures = warc.write_archives(warc.with_originals(pages, pages.html.cast("binary")), fresh_path(spark, "test-warc"))
