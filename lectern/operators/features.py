@@ -279,16 +279,16 @@ def _word_counts(numbered_docs: DataFrame, row: str, spec: FeatureSpec, *keep: s
     return rows.groupBy(row, *keep, "word").agg(F.count(F.lit(1)).cast("double").alias("tf"))
 
 
-def _entries_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep) -> DataFrame:
-    """(id, idx, tf) for a vocabulary too large to hold: counts per document and
-    word, then a join with the words.  Documents are numbered and written first, so
-    that equal ids stay apart."""
+def _entries_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep, *of: str) -> DataFrame:
+    """(id, word, tf, idx, of...) for a vocabulary too large to hold: counts per document
+    and word, written, then a join with the words.  Documents are numbered and written
+    first, so that equal ids stay apart."""
     columns = dict.fromkeys(["id", *keep, spec.input_col])
     numbered = df.select(*columns).withColumn("_row", F.monotonically_increasing_id())
     numbered = materialize(numbered, "numbered")
-    counted = _word_counts(numbered, "_row", spec, "id", *keep)
-    words = vocabulary.table.select("word", "idx")
-    return lookup_join(counted, words, "word", vocabulary.size, spread_by=("_row",)).drop("word")
+    counted = materialize(_word_counts(numbered, "_row", spec, "id", *keep), "word-counts")
+    words = vocabulary.table.select("word", "idx", *of)
+    return lookup_join(counted, words, "word", vocabulary.size, spread_by=("_row",))
 
 
 def vectors_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec) -> DataFrame:
@@ -303,7 +303,7 @@ def vectors_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec) ->
     while number in df.columns:
         number += "_"
     docs = materialize(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    counted = _word_counts(docs, number, spec)
+    counted = materialize(_word_counts(docs, number, spec), "word-counts")
     words = vocabulary.table.select("word", "idx", "idf")
     known = lookup_join(counted, words, "word", vocabulary.size, spread_by=(number,))
     value = F.col("tf") * F.col("idf") if spec.use_idf else F.col("tf")
@@ -313,25 +313,28 @@ def vectors_by_join(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec) ->
     return materialize_vectors(joined, vocabulary.size.rows, "_entries", spec.output_col, "features")
 
 
+def _known_terms(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, keep, *of: str) -> DataFrame:
+    """(id, keep..., idx, tf) with the columns ``of`` of the vocabulary, in one join."""
+    if not vocabulary.size.small:
+        return _entries_by_join(df, vocabulary, spec, keep, *(c for c in of if c != "word"))
+    entries = _entries_in_place(df, vocabulary, spec, keep)
+    return lookup_join(entries, vocabulary.table.select("idx", *of), "idx", vocabulary.size) if of else entries
+
+
 def term_entries(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, *keep: str) -> DataFrame:
     """Count of each vocabulary index per document (1 when binary)."""
-    count = _entries_in_place if vocabulary.size.small else _entries_by_join
-    return count(df, vocabulary, spec, keep).select("id", *keep, "idx", "tf")
+    return _known_terms(df, vocabulary, spec, keep).select("id", *keep, "idx", "tf")
 
 
 def term_frequency(
     df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec, *keep: str
 ) -> DataFrame:
     """``term_entries`` with the words."""
-    words = vocabulary.table.select("idx", "word")
-    entries = term_entries(df, vocabulary, spec, *keep)
-    return lookup_join(entries, words, "idx", vocabulary.size).select("id", *keep, "idx", "word", "tf")
+    return _known_terms(df, vocabulary, spec, keep, "word").select("id", *keep, "idx", "word", "tf")
 
 
 def tfidf_weights(df: DataFrame, vocabulary: Vocabulary, spec: FeatureSpec) -> DataFrame:
     """Per document and vocabulary word: tf, idf and their product."""
-    words = vocabulary.table.select("idx", "word", "idf")
-    entries = lookup_join(term_entries(df, vocabulary, spec), words, "idx", vocabulary.size)
-    return entries.select(
+    return _known_terms(df, vocabulary, spec, (), "word", "idf").select(
         "id", "idx", "word", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )

@@ -117,6 +117,8 @@ def walk(rows: DataFrame, ensemble: Ensemble, *keep: str, features_col: str = "f
         met = lookup_join(at, splits, "node", ensemble.size, "left", spread_by=keep)
         child = F.when(F.col("idx").isNull(), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right"))
         at = met.select(*keep, "_vector", child.alias("node"))
+        if not ensemble.size.small:
+            at = materialize(at, "level")  # the next join reads it twice
     return at.select(*keep, "node")
 
 

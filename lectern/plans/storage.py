@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,9 +17,12 @@ from pyspark.sql import types as T
 MAX_LOOKUP_ROWS = 1 << 18
 MAX_LOOKUP_BYTES = 64 << 20
 
-# Copies of the lookup table's rows in the shuffled join, so that one very
-# frequent key is spread over this many tasks.
-LOOKUP_SALTS = 32
+# A key of the shuffled join is hot if it has more fact rows than both of these: a
+# share of all rows, and rows that one task reads with ease.
+HOT_SHARE = 1e-3
+HOT_ROWS = 1 << 17
+# Keys that the sketch of frequent keys follows; its error is below a quarter of HOT_SHARE.
+HOT_TRACKED = 1 << 14
 
 # The folder of a local session that names none.
 _OWN: list[str] = []
@@ -107,6 +111,24 @@ def measure_lookup(lookup: DataFrame, text_col: str) -> LookupSize:
     return LookupSize(int(row["rows"]), int(row["nbytes"]))
 
 
+def hot_keys(facts: DataFrame, on: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+    """Table (_key, _copies) of the frequent values of ``on``, by their hashes.
+
+    A sketch of frequent items per task, merged, looks at every fact row in one job.
+    It misses no key of more than ``share`` of the rows, and there are at most
+    1 / ``share`` such keys, so the table is small whatever the data.  ``_copies`` is
+    the number of tasks that bring the rows of a key below that share (or to ``rows``,
+    if that is more).  Null counts as a key.  Only hashes are kept: where two keys
+    share one, both are spread.
+    """
+    most = math.ceil(1 / share)
+    sketch = F.expr(f"approx_top_k(_key, {most}, {max(HOT_TRACKED, most)})")
+    row = facts.select(F.xxhash64(on).alias("_key")).agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
+    bound = max(share * row["n"], rows)
+    found = [(r["item"], math.ceil(r["count"] / bound)) for r in row["top"] or [] if r["count"] > bound]
+    return facts.sparkSession.createDataFrame(found, "_key bigint, _copies int")
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -114,18 +136,27 @@ def lookup_join(
     size: LookupSize,
     how: str = "inner",
     spread_by: Sequence[str] = ("id",),
+    share: float = HOT_SHARE,
+    rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join many fact rows with a lookup table whose ``on`` values are unique.
 
-    A lookup table of measured small size is broadcast.  A larger one is
-    shuffled with its rows copied over salts, because a single frequent word can
-    hold a large part of the fact rows.
+    A lookup table of measured small size is broadcast.  A larger one is shuffled.
+    A single frequent word can hold a large part of the fact rows, so the hot keys
+    are found first (``hot_keys``; the fact rows are read once more for it).  The rows
+    of such a key are dealt by ``spread_by`` over as many salts as its share asks for,
+    and only its lookup row is copied; all other keys are shuffled once and not copied.
     """
     if size.small:
         return facts.join(F.broadcast(lookup), on, how)
-    salts = F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1))
-    salted_facts = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), F.lit(LOOKUP_SALTS)).cast("int")
-    )
-    salted_lookup = lookup.withColumn("_salt", F.explode(salts))
+    hot = F.broadcast(hot_keys(facts, on, share, rows))  # at most 1 / share rows of two numbers
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("_key", F.xxhash64(on)).join(hot, "_key", "left").drop("_key")
+
+    copies = F.coalesce(F.col("_copies"), F.lit(1))
+    dealt = F.pmod(F.xxhash64(*spread_by), copies).cast("int")
+    salted_facts = marked(facts).withColumn("_salt", dealt).drop("_copies")
+    salts = F.sequence(F.lit(0), copies - 1)
+    salted_lookup = marked(lookup).withColumn("_salt", F.explode(salts)).drop("_copies")
     return salted_facts.join(salted_lookup, [on, "_salt"], how).drop("_salt")

@@ -105,6 +105,39 @@ def test_lookup_join_copies_a_large_lookup_over_salts(spark):
     assert large.count() == 300
 
 
+def test_only_hot_keys_get_salts_and_by_their_share(spark):
+    rows = [(i, "hot" if i % 2 else "warm" if i % 4 else None if i % 8 else f"w{i}") for i in range(8000)]
+    facts = spark.createDataFrame(rows, "id bigint, word string")
+    copies = lambda **o: {r["_key"]: r["_copies"] for r in st.hot_keys(facts, "word", **o).collect()}
+    hashed = spark.sql("SELECT xxhash64('hot') h, xxhash64('warm') w, xxhash64(CAST(NULL AS STRING)) n").first()
+    assert copies(share=0.05, rows=1) == {hashed["h"]: 10, hashed["w"]: 5, hashed["n"]: 3}
+    assert copies(share=0.3, rows=1) == {hashed["h"]: 2}
+    assert copies(share=0.05, rows=3000) == {hashed["h"]: 2}
+    assert copies() == {}
+    assert st.hot_keys(facts.limit(0), "word").collect() == []
+
+
+def test_a_word_of_every_row_is_spread_evenly(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    facts = spark.range(20_000).withColumn("word", F.lit("hot"))
+    facts = facts.unionByName(spark.range(500).withColumn("word", F.concat(F.lit("w"), "id")))
+    lookup = spark.createDataFrame([("hot", 1)] + [(f"w{i}", i) for i in range(400)], "word string, v int")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = st.lookup_join(facts, lookup, "word", LookupSize(10**9, 20), share=0.005, rows=1)
+        held = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(held) == 20_400 and len(held) == 8 and max(held) < 2 * 20_400 / 8
+        plain = facts.join(lookup, "word").select("id", "word", "v")
+        assert sorted(map(tuple, joined.select("id", "word", "v").collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert st.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert st.measure_lookup(spark.createDataFrame([("ab", 1)], "word string, v int"), "word") == LookupSize(1, 18)
