@@ -53,7 +53,49 @@ def test_random_against_brute_force(spark, docs_of):
 
 
 def test_several_passes_give_the_same(spark, docs_of):
-    check(spark, docs_of, *random_case(3, letters="abcd"), pass_bytes=30)
+    texts, items = random_case(3, letters="abcd")
+    check(spark, docs_of, [*texts, None, "", texts[-1]], items, pass_windows=6)
+
+
+def test_several_passes_keep_rows_of_equal_and_null_ids(spark, docs_of):
+    docs = docs_of([(1, "a b c"), (1, "a b c"), (None, "x y"), (3, None), (4, "zz p q r zz"), (4, "clean")])
+    bench = spark.createDataFrame([(1, "a b c"), (2, "p q r"), (3, "m n"), (4, "o")], "item_id bigint, text string")
+    for passes in (1, 100):
+        marked = dc.with_overlap(docs, bench, pass_windows=passes, out="hits")
+        got = [(r["doc_id"], r["text"], r["hits"]["hits"], r["hits"]["items"]) for r in marked.collect()]
+        want = [(1, "a b c", [0, 1, 2], ["1"])] * 2 + [(None, "x y", [], []), (3, None, [], [])]
+        want += [(4, "zz p q r zz", [1, 2, 3], ["2"]), (4, "clean", [], [])]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        kept = dc.remove_contaminated(docs, bench, pass_windows=passes)
+        assert kept.columns == docs.columns
+        assert sorted(str(r["text"]) for r in kept.collect()) == ["None", "clean", "x y"]
+
+
+def test_chunks_hold_every_window_once():
+    for n in (0, 1, 4, 9, 10, 11, 40, 41):
+        text = [str(i).encode() for i in range(n)]
+        runs = [tuple(c[i : i + 10]) for c in dc.chunks_of(text, 10, 7) for i in range(max(1, len(c) - 9))]
+        assert runs == ([tuple(text[i : i + 10]) for i in range(max(1, n - 9))] if n else [])
+
+
+def test_long_and_repeated_items(spark, docs_of):
+    """An item over several chunks, and one text that very many items share."""
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(300)}" for _ in range(9000)]
+    cut = dc.CHUNK_WINDOWS
+    texts = [" ".join(long[a : a + n]) for a, n in [(0, 12), (cut - 5, 10), (cut - 3, 30), (cut, 9), (8985, 15)]]
+    items = [(0, " ".join(long)), *((i, "same words here") for i in range(1, 400)), (400, " ".join(long[cut - 1 :]))]
+    texts += ["x same words here y", "same words", "here same words here"]
+    for passes in (1 << 20, 3000):
+        check(spark, docs_of, texts, items, pass_windows=passes)
+
+
+def test_distinct_windows_are_held_once():
+    """Repeated windows cost owners, not patterns; buckets hold them in order of prefixes."""
+    text = b"a b c d e f g h i j k"
+    tables = dc.WuManber([(text, ["1"]), (text + b" l", ["2"]), (b"a b", ["3"])])
+    sizes = {t.length: (len(t.places), len(t.owners)) for t in tables.tables}
+    assert sizes == {2: (1, 1), 10: (3, 5)}
 
 
 def test_edge_rows(spark, docs_of):
