@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.operators.ranking import first_by_hash
 from lectern.plans.storage import materialize
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -91,7 +92,7 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame, settings: ResamplingSetti
     """
     s = settings
     ids = target_ids.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.max_target)
+    ids = first_by_hash(ids, "doc_id", s.max_target)
     chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi")  # max_target numbers at most
     raw, target = bucket_counts(docs, s.buckets), bucket_counts(chosen, s.buckets)
     if not target.sum():
