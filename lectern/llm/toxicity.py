@@ -19,7 +19,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.operators.ranking import first_by_hash
 from lectern.plans.storage import materialize
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -88,13 +87,14 @@ def fit_toxicity(
     one class only, or none, every text scores below 0.5.
     """
     s = settings
-    labelled = (
+    chosen = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(s.max_rows)
     )
-    chosen = first_by_hash(labelled, "doc_id", s.max_rows)
     # At most max_rows short rows: the broadcast has that bound.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
