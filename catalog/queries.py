@@ -721,7 +721,8 @@ def worst_model_errors(spark, sf):
     model = run.trained[0]
     found = runs.worst_errors(run, model)
     texts = run.documents.select("id", F.col("text").alias("own"))
-    rows = found.join(texts, "id").groupBy(F.lit("logreg").alias("model")).agg(
+    rows = found.join(texts, "id").agg(
+        F.lit("logreg").alias("model"),
         F.count_if(F.col("error") == "false_positive").alias("n_fp"),
         F.count_if(F.col("error") == "false_negative").alias("n_fn"),
         F.count_if((F.col("text") != F.col("own")) | (F.col("label") == F.col("prediction"))).alias("n_wrong"),

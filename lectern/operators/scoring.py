@@ -77,7 +77,10 @@ def score_texts(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
 
 def score_texts_in_place(docs: DataFrame, scorer: LinearScorer) -> DataFrame:
     """Every task holds the model and the scan is scored in place: no shuffle,
-    whole texts pass through, streams work too."""
+    whole texts pass through, streams work too.  Refused beyond the lookup bounds, where
+    ``score_texts`` joins instead."""
+    if not scorer.size.small:
+        raise ValueError(f"a model of {scorer.size.rows} words, {scorer.size.nbytes} bytes is scored by a join")
     rows = scorer.table.orderBy("idx").collect()
     if not rows:
         return _decided(docs, scorer, F.lit(float(scorer.intercept)), *docs.columns)

@@ -49,6 +49,8 @@ def test_table_scores_equal_the_model(fitted, train, articles, logistic, monkeyp
     salted = so.score_by_lookup(docs, large)
     joined = so.score_texts(docs, large)
     assert "_salt" in salted._jdf.queryExecution().toString()
+    with pytest.raises(ValueError, match="scored by a join"):
+        so.score_texts_in_place(docs, large)
     for got in (in_place, broadcast, salted, joined):
         assert by_id(got, "score") == pytest.approx(want_score, abs=1e-9)
         assert by_id(got, "prediction") == want_pred
