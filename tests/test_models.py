@@ -4,6 +4,8 @@ from pathlib import Path
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lectern.operators import models as md
@@ -183,3 +185,19 @@ def test_whole_presets_on_a_small_corpus(articles):
         )
         small = replace(preset, features=replace(preset.features, **shrink), models=models)
         assert len(runs.train(articles, small).metrics) == len(models)
+
+
+def test_tree_tasks_hold_a_bounded_number_of_bins(spark, monkeypatch):
+    rows = [(float(i % 2), Vectors.sparse(40, [i % 40], [1.0])) for i in range(60)]
+    train = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
+    fit, seen = GBTClassifier.fit, []
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: seen.append(df.rdd.glom().map(len).collect()) or fit(self, df))
+    monkeypatch.setattr(md, "TREE_BYTES_PER_TASK", 10 * 4 * 40, raising=False)  # ten rows
+    spec = md.ModelSpec("gbt", {"maxIter": 2, "maxDepth": 2, "seed": 42})
+    for n_rows in (None, 60):
+        trained = md.fit_models(train, train, [spec], n_rows)[0]
+        assert trained.predictions.count() == 60
+    assert [sum(n) for n in seen] == [60, 60] and max(map(max, seen)) <= 15  # dealt round robin
+    small = train.limit(10).coalesce(1)
+    md.fit_models(small, small, [spec])
+    assert seen[-1] == [10]  # nothing to spread
