@@ -27,10 +27,13 @@ SHARD_ROWS = 8192
 #: Anchors that one scan holds, and the bytes of their vectors that may be broadcast.
 SCAN_ANCHORS = 4096
 SCAN_BYTES = 32 << 20
-#: Dimensions read between two looks at the bounds.
+#: Dimensions read between two looks at the bounds, at least.  The next look waits
+#: until what is unread can add this share of what it could at the last one.
 STRIDE = 4
-#: Scores are bigint.
+LOOK_SHARE = 0.5
+#: Scores are bigint.  Whole numbers below this are exact in floating point.
 MOST = (1 << 63) - 1
+EXACT = 1 << 53
 
 
 @dataclass(frozen=True)
@@ -98,15 +101,20 @@ class Shard:
         self.low = np.array([c.min() for c in self.columns])
         self.high = np.array([c.max() for c in self.columns])
         self.largest = max(abs(int(x)) for x in (*self.low, *self.high))
+        self.floats = [c.astype(np.float64) for c in self.columns] if self.largest < EXACT else None
 
     def bounds(self, anchor: np.ndarray) -> tuple[np.ndarray, list, list, np.ndarray]:
         """(reading order, least and largest sum of what is unread after n dimensions, anchor).
 
-        Python integers replace 64 bits where sums might pass them.
+        Floating point serves where all sums are exact in it.  Python integers replace
+        64 bits where sums might pass them.
         """
-        if len(anchor) * self.largest * max(abs(int(x)) for x in anchor) > MOST:
-            anchor = anchor.astype(object)
+        bound = len(anchor) * self.largest * max(abs(int(x)) for x in anchor)
         order = np.argsort(-np.abs(anchor.astype(np.float64)), kind="stable")
+        if bound > MOST:
+            anchor = anchor.astype(object)
+        elif bound < EXACT and self.floats is not None:
+            anchor = anchor.astype(np.float64)
         ends = np.stack([anchor * self.low.astype(anchor.dtype), anchor * self.high.astype(anchor.dtype)])[:, order]
         zero = np.zeros(1, ends.dtype)
         rest = [np.concatenate([np.cumsum(part[::-1])[::-1], zero]) for part in (ends.min(axis=0), ends.max(axis=0))]
@@ -118,21 +126,32 @@ class Shard:
         ``keep(lower, upper)`` tells which candidates can still count.
         """
         order, least, most, anchor = self.bounds(anchor)
-        bitmap, read = bitmap.copy(), 0
+        columns = self.floats if anchor.dtype == np.float64 else self.columns
+        bitmap, read, looked = bitmap.copy(), 0, 0
         rows = np.flatnonzero(bitmap)
+        # While most rows are candidates, whole columns are read: that is cheaper than picking.
+        whole = np.zeros(len(bitmap), anchor.dtype) if 2 * len(rows) > len(bitmap) else None
         partial = np.zeros(len(rows), anchor.dtype)
         for start in range(0, len(order), STRIDE):
             if not len(rows):
                 break
             for d in order[start : start + STRIDE]:
-                partial += anchor[d] * self.columns[d][rows].astype(anchor.dtype, copy=False)
+                if whole is not None:
+                    whole += anchor[d] * columns[d].astype(anchor.dtype, copy=False)
+                else:
+                    partial += anchor[d] * columns[d][rows].astype(anchor.dtype, copy=False)
                 read += len(rows)
             n = min(start + STRIDE, len(order))
+            if n < len(order) and most[n] - least[n] > LOOK_SHARE * (most[looked] - least[looked]):
+                continue
+            looked = n
+            partial = partial if whole is None else whole[rows]
             stay = keep(partial + least[n], partial + most[n])
             if not stay.all():
                 bitmap[rows[~stay]] = False
                 rows, partial = np.flatnonzero(bitmap), partial[stay]
-        return rows, partial, read
+                whole = whole if 2 * len(rows) > len(bitmap) else None
+        return rows, partial.astype(np.int64) if columns is self.floats else partial, read
 
     def positives(self, own: int, label: int, anchor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best ``k`` other rows of the label, ties to smaller ids."""
@@ -146,13 +165,17 @@ class Shard:
     def negatives(self, label: int, anchor: np.ndarray, windows: list[tuple[int, int]], k: int) -> list:
         """(ids, scores) per window (least, most score): the best ``k`` rows of other labels in it."""
 
+        reach = {window: window[0] for window in windows}
+
         def keep(lower, upper):
             stay = np.zeros(len(lower), bool)
-            for least, most in windows:
-                able = (upper >= least) & (lower <= most)
-                # Rows surely inside set what a further row has to reach.
-                sure = np.sort(lower[(lower >= least) & (upper <= most)])[-k:]
-                stay |= able & (upper >= sure[0]) if len(sure) == k else able
+            for (least, most), known in reach.items():
+                # Rows surely inside set what a further row has to reach.  Bounds only
+                # close in, so those that did so before still count.
+                sure = lower[(lower >= known) & (upper <= most)]
+                if len(sure) >= k:
+                    known = reach[least, most] = np.partition(sure, len(sure) - k)[len(sure) - k]
+                stay |= (upper >= known) & (lower <= most)
             return stay
 
         rows, scores, _ = self.scan(anchor, self.labels != label, keep)

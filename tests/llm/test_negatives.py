@@ -121,3 +121,20 @@ def test_no_copies_of_candidates(spark):
     embeddings = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     plan = ng.hard_negatives(embeddings)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_looks_are_few_and_sums_exact_at_every_size():
+    rng = np.random.default_rng(6)
+    for size in (100, 1 << 28, 1 << 40):  # floating point, 64 bits, Python integers
+        anchor, cells = rng.integers(-size, size, 64), rng.integers(-size, size, (500, 64))
+        exact = cells.astype(object) @ anchor.astype(object)
+        shard = ng.Shard(np.arange(500), np.arange(500) % 2, list(cells.T))
+        seen = []
+        keep = lambda lower, upper: seen.append((lower, upper)) or np.ones(len(lower), bool)
+        rows, scores, _ = shard.scan(anchor, shard.labels == 0, keep)
+        assert [int(x) for x in scores] == [int(x) for x in exact[rows]] and len(rows) == 250
+        assert len(seen) <= 10 and (seen[-1][0] == seen[-1][1]).all()
+        top = sorted((int(x) for x in exact[1::2]), reverse=True)
+        windows = [(top[40], top[10]), (top[41], top[20]), (5, 4)]
+        found = shard.negatives(0, anchor, windows, 3)
+        assert [[int(x) for x in s] for _, s in found] == [top[10:13], top[20:23], []]
