@@ -14,13 +14,14 @@ n-gram without its first word, over the count of its history plus ``prior``.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from math import log10
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,10 @@ LEVELS = 41
 #: Words and tokens a task keeps before it hands them on.
 _HELD_WORDS = 400_000
 _HELD_TOKENS = 1 << 21
+#: Documents whose n-grams are looked up together.
+_LOOKED_UP = 128
+#: Bytes of the filter that pass through the driver at a time, or one part.
+SHARED_BYTES = 16 << 20
 
 #: A byte that UTF-8 does not use: the end among hashed words.
 _END_BYTE = b"\xff"
@@ -198,17 +203,44 @@ class Filter:
         for j in range(1, LEVELS):
             a, b = _pair(asked, j)
             hit = np.ones(len(left), bool)
-            for probe in range(self.probes[0] if j == 1 else self.probes[1]):
+            last = (self.probes[0] if j == 1 else self.probes[1]) - 1
+            for probe in range(last + 1):
                 at = _place(a, b, probe, bits)
                 byte = self.data[starts + (at >> np.uint64(3)).astype(np.int64)]
                 hit &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-            left, asked, bits, starts = left[hit], asked[hit], bits[hit], starts[hit]
+                # A name that failed a probe needs no more, where dropping such pays.
+                if probe == last or 4 * np.count_nonzero(hit) < 3 * len(hit):
+                    left, asked, bits, starts, a, b = (x[hit] for x in (left, asked, bits, starts, a, b))
+                    hit = np.ones(len(left), bool)
             if not len(left):
                 break
             out[left] = j
         return out
 
 
+def levels_among(filters: Iterable[Filter], names: np.ndarray) -> np.ndarray:
+    """Level of every one of the sorted ``names`` in filters that hold different parts."""
+    out = np.zeros(len(names), np.uint8)
+    for held in filters:
+        part = part_of(names, held.parts)
+        i, j = np.searchsorted(part, [held.first, held.first + len(held.bits)])
+        out[i:j] = held.levels(names[i:j])
+    return out
+
+
+def spans(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """(first, last) of runs of the parts (part, bytes) of at most ``most`` bytes, or one part."""
+    out: list[tuple[int, int]] = []
+    room = 0
+    for part, n in sizes:
+        if not out or n > room:
+            out.append((part, part))
+            room = most
+        out[-1] = (out[-1][0], part)
+        room -= n
+    return out
+
+
 @dataclass(frozen=True)
 class Counts:
     """What the training texts hold: a written table of words, and totals."""
@@ -311,12 +343,25 @@ class Model:
     counts: Counts
     filter: DataFrame
     parts: int
-    passes: list[tuple[int, int]]  # first and last part of every pass
+    sizes: list[tuple[int, int]]  # part, bytes
     values: np.ndarray  # the count a level stands for, by order and level
     settings: ModelSettings
 
-    def held(self, first: int, last: int) -> Filter:
-        """The parts of one pass, ``pass_bytes`` or one part."""
+    @property
+    def passes(self) -> list[tuple[int, int]]:
+        """First and last part of every pass."""
+        return spans(self.sizes, self.settings.pass_bytes)
+
+    def shared(self, first: int, last: int) -> list[Broadcast]:
+        """The parts of one pass, ``pass_bytes`` or one part, broadcast.
+
+        The driver holds no more of them at a time than ``SHARED_BYTES``.
+        """
+        context = self.filter.sparkSession.sparkContext
+        here = [x for x in self.sizes if first <= x[0] <= last]
+        return [context.broadcast(self._held(*span)) for span in spans(here, SHARED_BYTES)]
+
+    def _held(self, first: int, last: int) -> Filter:
         rows = self.filter.filter(F.col("part").between(first, last)).select("part", "bits", "data").collect()
         by_part = {r["part"]: r for r in rows}
         found = [by_part.get(p) for p in range(first, last + 1)]  # a part without n-grams has no row
@@ -331,22 +376,15 @@ def fit(docs: DataFrame, settings: ModelSettings = ModelSettings()) -> Model:
     """Count the texts of ``docs(text, held_out)`` and build the filter from those not held out."""
     counts = count_words(docs)
     table = build_filter(docs, counts, settings)
-    sizes = table.select("part", F.octet_length("data").alias("n")).orderBy("part").collect()  # numbers only
-    passes: list[list[int]] = []
-    room = 0
-    for row in sizes:
-        if not passes or row["n"] > room:
-            passes.append([row["part"], row["part"]])
-            room = settings.pass_bytes
-        passes[-1][1] = row["part"]
-        room -= row["n"]
+    rows = table.select("part", F.octet_length("data").alias("n")).orderBy("part").collect()  # numbers only
+    sizes = [(r["part"], r["n"]) for r in rows]
     cells = table.select(F.posexplode(F.arrays_zip("grams", "total"))).groupBy("pos")
     sums = cells.agg(F.sum("col.grams").alias("grams"), F.sum("col.total").alias("total"))
     values = np.zeros(4 * LEVELS)
     for row in sums.filter(F.col("grams") > 0).collect():  # orders times levels
         values[row["pos"]] = row["total"] / row["grams"]
     parts = max(1, -(-counts.tokens * settings.order // settings.part_tokens))
-    return Model(counts, table, parts, [tuple(p) for p in passes], values.reshape(4, LEVELS), settings)
+    return Model(counts, table, parts, sizes, values.reshape(4, LEVELS), settings)
 
 
 def log_probabilities(
@@ -386,21 +424,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     hot = {bytes(r["word"]): (r["n"] > 0, log10((r["n"] + 0.5) / counts.denominator)) for r in hot_rows}
     context = docs.sparkSession.sparkContext
     shared_hot, values, totals = context.broadcast(hot), model.values, (counts.tokens, counts.denominator)
-    single = len(model.passes) <= 1
+    passes = model.passes
+    single = len(passes) <= 1
     numbered = docs.select("doc_id", "held_out", "text").withColumn("_row", F.monotonically_increasing_id())
     if not single:
         numbered = materialize(numbered, "lm-documents")
 
-    def shared(part: tuple[int, int] | None):
-        return context.broadcast(model.held(*part) if part else model.held(0, -1))
-
-    def found(batch: pd.DataFrame, grams: Grams, held: Filter) -> Iterator[tuple]:
+    def found(batch: pd.DataFrame, grams: Grams, held: list[Filter]) -> Iterator[tuple]:
         """(documents of a slice, levels by order, places, lengths)."""
-        for start in range(0, len(batch), 64):
-            rows = batch.iloc[start : start + 64]
+        for start in range(0, len(batch), _LOOKED_UP):
+            rows = batch.iloc[start : start + _LOOKED_UP]
             names, place, lengths = grams.of(list(rows["text"]))
             unique, back = np.unique(np.concatenate(names), return_inverse=True)
-            yield rows, held.levels(unique)[back].reshape(s.order, -1), place, lengths
+            yield rows, levels_among(held, unique)[back].reshape(s.order, -1), place, lengths
 
     def summed(levels, place: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         last = np.repeat(np.cumsum(lengths) - 1, lengths)
@@ -419,13 +455,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 base += n * at[1]
         return len(words), known, base, rest, times
 
-    def first_pass(part, with_score: bool):
-        held = shared(part)
-
+    def first_pass(shared: list[Broadcast], with_score: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            grams = Grams(s.order)
+            grams, held = Grams(s.order), [x.value for x in shared]
             for batch in batches:
-                for rows, levels, place, lengths in found(batch, grams, held.value):
+                for rows, levels, place, lengths in found(batch, grams, held):
                     out = pd.DataFrame({"_row": rows["_row"].to_numpy(), "held_out": rows["held_out"].to_numpy()})
                     out["doc_id"] = rows["doc_id"].to_numpy()
                     base = [based(words_of(t)) for t in rows["text"]]
@@ -436,32 +470,37 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
         return run
 
-    def later_pass(number: int, part):
-        held = shared(part)
-
+    def later_pass(shared: list[Broadcast]):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            grams = Grams(s.order)
+            grams, held = Grams(s.order), [x.value for x in shared]
             for batch in batches:
-                for rows, levels, _, lengths in found(batch, grams, held.value):
+                for rows, levels, _, lengths in found(batch, grams, held):
                     cut = np.cumsum(lengths)[:-1]
                     packed = [x.tobytes() for x in np.split(levels, cut, axis=1)]
                     yield pd.DataFrame({"_row": rows["_row"].to_numpy(), "levels": packed})
 
         return run
 
+    def passed(rows: DataFrame, one_pass, part: tuple[int, int] | None, schema: str, name: str, *args) -> DataFrame:
+        """The written result of one pass, whose parts of the filter are dropped after it."""
+        shared = model.shared(*part) if part else []
+        try:
+            return materialize(rows.mapInPandas(one_pass(shared, *args), schema), name)
+        finally:
+            for x in shared:
+                x.destroy()
+
     # Ids pass as text: a column with nulls would become floating-point numbers.
     numbered = numbered.withColumn("doc_id", F.col("doc_id").cast("string"))
     schema = (
         "_row bigint, held_out boolean, doc_id string, n_tokens bigint, known bigint, base double, "
         "rest array<binary>, times array<int>, score double"
     )
-    whole = model.passes[0] if single and model.passes else None
-    scored = materialize(numbered.mapInPandas(first_pass(whole, single), schema), "lm-scored")
+    whole = passes[0] if single and passes else None
+    scored = passed(numbered, first_pass, whole, schema, "lm-scored", single)
     if not single:
-        parts = [
-            materialize(numbered.select("_row", "text").mapInPandas(later_pass(i, p), "_row bigint, levels binary"), "lm-levels")
-            for i, p in enumerate(model.passes)
-        ]
+        texts = numbered.select("_row", "text")
+        parts = [passed(texts, later_pass, p, "_row bigint, levels binary", "lm-levels") for p in passes]
 
         def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:

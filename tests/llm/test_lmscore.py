@@ -171,3 +171,18 @@ def test_query_covers_all_rows(spark):
     got = QUERIES["op11_lm_scoring"](spark, folder)
     assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def test_the_driver_holds_a_bounded_share_of_a_pass(docs_of, monkeypatch):
+    cut = lm.ModelSettings(probes=(24, 24), prior=5.0, part_tokens=64)
+    whole = by_row(result(docs_of(ROWS), cut))
+    docs = docs_of(ROWS).withColumn("held_out", F.lit(False)).select("doc_id", "held_out", "text")
+    model = lm.fit(docs, cut)
+    assert len(model.passes) == 1 and len(model.shared(*model.passes[0])) == 1
+    monkeypatch.setattr(lm, "SHARED_BYTES", 200)
+    held = [x.value for x in model.shared(*model.passes[0])]
+    assert len(held) > 2 and all(len(h.data) <= 200 + 8 * len(h.bits) for h in held)  # 8 for a part without n-grams
+    names = np.unique(lm.Grams(2).of([t for _, t in ROWS])[0][0])
+    assert (lm.levels_among(held, names) > 0).all()
+    for a, b in zip(by_row(result(docs_of(ROWS), cut)), whole, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-9)
