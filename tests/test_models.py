@@ -1,6 +1,7 @@
 import json
 from dataclasses import replace
 from pathlib import Path
+from random import Random
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -8,6 +9,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from catalog import queries as catalog_queries
 from lectern.operators import models as md
 from lectern.operators.features import FeatureSpec
 from lectern.plans import presets as ps
@@ -201,3 +203,20 @@ def test_tree_tasks_hold_a_bounded_number_of_bins(spark, monkeypatch):
     small = train.limit(10).coalesce(1)
     md.fit_models(small, small, [spec])
     assert seen[-1] == [10]  # nothing to spread
+
+
+def test_train_gbt_fits_a_whole_ensemble(spark, tmp_path, monkeypatch):
+    draw = Random(0)  # labels by chance, which no shallow tree parts
+    words = [f"x{''.join('abcdefghij'[int(c)] for c in str(w))}" for w in range(2100)]
+    docs = [(i, " ".join(draw.sample(words, 300)), f"s{i % 4}") for i in range(120)]
+    marks = [(i, draw.randrange(2)) for i in range(120)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(marks, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    train, seen = runs.train, []
+    monkeypatch.setattr(runs, "train", lambda *a, **k: seen.append(train(*a, **k)) or seen[-1])
+    (row,) = catalog_queries.train_gbt(spark, str(tmp_path)).collect()
+    ((trained,),) = (run.trained for run in seen)
+    assert row["learns"] and row["n_train"] + row["n_test"] == 120
+    assert trained.model.numFeatures > 2000  # nor a cut vocabulary
+    assert trained.model.getNumTrees == 60 and max(t.depth for t in trained.model.trees) == 7
